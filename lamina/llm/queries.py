@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media
+from . import bpe, media, minhash
 from .common import read
 
 #: Where the tokenizer's ranks are, and how it cuts texts.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-word shingles, as this query's contract asks for."""
+    return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), n=2, percent=80)
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return media.media_features(media.media_column(docs))
@@ -22,5 +27,5 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op5_media_columns, op7_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_minhash, op5_media_columns, op7_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
