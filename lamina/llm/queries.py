@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, minhash
+from . import bpe, media, minhash, mixing, substrings
 from .common import read
 
 #: Where the tokenizer's ranks are, and how it cuts texts.
@@ -17,6 +17,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), n=2, percent=80)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.drop_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return media.media_features(media.media_column(docs))
@@ -27,5 +31,9 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op5_media_columns, op7_byte_bpe)}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+QUERIES = {f.__name__: f for f in (op2_minhash, op4_substring_dedup, op5_media_columns, op7_byte_bpe, op10_mixing)}
 ORACLE_SQL: dict[str, str] = {}
