@@ -4,19 +4,38 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, media, minhash, mixing, substrings
-from .common import read
+from . import attribution, bpe, labelled, media, minhash, mixing, quality, substrings, toxicity, vectors, warc
+from .common import crc_remainder, read
 
 #: Where the tokenizer's ranks are, and how it cuts texts.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on labelled rows of four folds in five; all rows are scored."""
+    docs, held_out = read(spark, sf_dir, "documents"), crc_remainder(F.col("doc_id"), 5) == 0
+    model = quality.fit(*labelled.sample(docs, read(spark, sf_dir, "labels"), "quality", held_out))
+    return labelled.predictions(quality.scores(docs, model), held_out, 0.3)
+
+
+def toxic_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of docs, by a model fitted on labelled rows of two folds in three."""
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(*labelled.sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "toxic", held_out))
+    return labelled.predictions(toxicity.scores(docs, model), held_out, 0.7)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, as this query's contract asks for."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), n=2, percent=80)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.drop_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -26,14 +45,26 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.media_column(docs))
 
 
+def op6_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, RANKS, PATTERN)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_scores(spark, read(spark, sf_dir, "documents"), sf_dir)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), cosine=0.95)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op4_substring_dedup, op5_media_columns, op7_byte_bpe, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_minhash, op3_token_counts, op4_substring_dedup, op5_media_columns, op6_warc_chunks, op7_byte_bpe, op8_toxicity, op9_embedding_dedup, op10_mixing)}
 ORACLE_SQL: dict[str, str] = {}
