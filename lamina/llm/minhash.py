@@ -7,9 +7,10 @@ signature: coordinate k is the least value of the second permutation k places be
 the signature name buckets.
 
 Documents with equal sets are one class, which its least doc_id represents; only representatives enter buckets.
-Each bucket compares all its members with one of them, then, where members are left apart, every pair of members
-that are still in different components and of compatible size. Comparison is exact, on the shingle sets of the
-whole texts: a link needs similarity of at least ``percent`` hundredths.
+Representatives that share buckets, directly or through others, are a cell. All pairs of a cell are compared, by
+blocks: a large cell is many small groups of rows, and what a group hands on is a forest of its links, never pairs.
+Comparison is exact, on the shingle sets of the whole texts: a link needs a similarity of at least ``percent``
+hundredths.
 
 Null and empty texts, and texts of white space, have no shingles and link with nothing. doc_id names a document:
 rows that repeat one with the same text get the same result each. An empty table gives an empty result. Other
@@ -32,8 +33,8 @@ from .graph import components, redealt
 UNIVERSE_BITS = 20
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
-#: Members of a bucket's centre that are compared in one group of rows.
-GROUP = 256
+#: Members of a block of a cell, and shingles that are compared at a time.
+BLOCK, COLUMNS = 128, 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -118,53 +119,91 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verified(pairs: DataFrame, candidates: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, centre) whose texts are similar; a text is sent once for each group that it is compared in."""
-    groups = pairs.groupBy("centre").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
-    members = pairs.join(redealt(groups, "groups"), "centre").select(F.col("a").alias("id"), "centre", F.pmod(F.xxhash64("a"), "groups").cast("int").alias("part"), F.lit(1).alias("role"))
-    centres = groups.select(F.col("centre").alias("id"), "centre", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("role"))
-    rows = members.unionByName(centres).join(candidates, "id").repartition("centre", "part").sortWithinPartitions("centre", "part", "role", "id")
+def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Every pair of places whose sets are similar."""
+    n = len(sets)
+    if n <= 12:
+        return [(i, j) for i in range(n) for j in range(i + 1, n) if similar(sets[i], sets[j], percent)]
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, token, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # a shingle of one member is in no intersection; the others are columns of zeros and ones, taken a few at a time
+    column = np.cumsum(counts > 1) - 1
+    met = counts[token] > 1
+    owner, token = owner[met], column[token[met]]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    both = np.zeros((n, n), np.float32)
+    for at in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+        a, b = np.searchsorted(token, (at, at + COLUMNS))
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[owner[a:b], token[a:b] - at] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    i, j = np.nonzero(np.triu(100 * both >= percent * (sizes[:, None] + sizes[None, :] - both), 1))
+    return [*zip(i.tolist(), j.tolist(), strict=True)]
+
+
+def forest(pairs: list[tuple[int, int]]) -> dict[int, int]:
+    """The least place that each linked place reaches."""
+    up: dict[int, int] = {}
+
+    def top(i: int) -> int:
+        while up.setdefault(i, i) != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    for i, j in pairs:
+        a, b = top(i), top(j)
+        up[max(a, b)] = min(a, b)
+    return {i: top(i) for i in up}
+
+
+def _verified(cells: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): links that join similar members of each cell, given (id, cell).
+
+    The members of a cell are dealt into blocks; every pair of blocks is one group of rows, which holds the texts of
+    both and compares all of their pairs.
+    """
+    sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = cells.join(redealt(sizes, "blocks"), "cell").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = rows.join(texts, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("id", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text")
+    rows = rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "id")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches):
-        now, held = None, None
+        now, ids, sets = None, [], []
+
+        def result():
+            found = forest(links(sets, percent))
+            return pa.RecordBatch.from_pydict({"a": [ids[i] for i in found], "b": [ids[i] for i in found.values()]}, schema=schema)
+
         for batch in batches:
-            found = []
-            for i, centre, part, role, text in zip(*(batch.column(c).to_pylist() for c in ("id", "centre", "part", "role", "text")), strict=True):
-                own = shingles(text, n)
-                if role == 0:
-                    now, held = (centre, part), own
-                elif now == (centre, part) and similar(own, held, percent):
-                    found.append((i, centre))
-            yield pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [x for _, x in found]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            for i, *group, text in zip(*(batch.column(c).to_pylist() for c in ("id", "cell", "i", "j", "text")), strict=True):
+                if group != now:
+                    if len(ids) > 1:
+                        yield result()
+                    now, ids, sets = group, [], []
+                ids.append(i)
+                sets.append(shingles(text, n))
+        if len(ids) > 1:
+            yield result()
 
-    return rows.select("id", "centre", "part", "role", "text").mapInArrow(compare, "a long, b long")
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     prepare(docs.sparkSession)
     prints = saved(fingerprints(docs, n, key, text))
-    classes = saved(prints.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")))
-    buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("many")).where("many > 1")
-    members = saved(buckets.join(redealt(shared.select("bucket", "centre"), "centre"), "bucket"))
-    involved = members.select(F.col("rep").alias("id")).distinct()
+    classes = saved(prints.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+    buckets = classes.select("rep", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("many")).where("many > 1").select("bucket", "centre")
+    stars = buckets.join(redealt(shared, "centre"), "bucket").where("rep <> centre").select("rep", "centre").distinct()
+    cells = components(stars, "rep", "centre").withColumnRenamed("component", "cell")
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    candidates = saved(texts.join(redealt(involved, "id"), "id").select("id", "text"))
-
-    stars = members.where("rep <> centre").select(F.col("rep").alias("a"), "centre").distinct()
-    links = saved(_verified(stars, candidates, n, percent))
-    found = components(links)
-    # members of a bucket that are still apart: all pairs of those, but for the ones that have been compared
-    named = saved(members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
-    apart = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
-    left = named.join(redealt(apart.select("bucket", "least"), "least"), "bucket").select("bucket", "rep", "n", "component", "centre")
-    right = left.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "component")))
-    fits = f"rep < rep2 and component <> component2 and rep <> centre and 100 * least(n, n2) >= {percent} * greatest(n, n2)"
-    more = left.join(right, "bucket").where(fits).select(F.col("rep2").alias("a"), F.col("rep").alias("centre")).distinct()
-    late = saved(_verified(saved(more), candidates, n, percent))
-    if not late.isEmpty():
-        found = components(links.unionByName(late))
+    found = components(_verified(saved(cells), texts, n, percent))
 
     owners = classes.select("hi", "lo", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("component"))
     out = prints.drop("bands").join(redealt(owners, "component"), ["hi", "lo"], "left")
