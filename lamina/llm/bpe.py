@@ -170,8 +170,8 @@ def decode_column(encoded: DataFrame, path: str, pattern: str, key: str = "doc_i
     return by_batch(encoded.select(key, ids), rows, f"{key} long, data binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): digests of the token ids and of what they decode to."""
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256): digests of the token ids and of what they decode to; ids on demand."""
 
     def rows(batch):
         tool, documents = codec(path, pattern), texts(batch, text)
@@ -179,6 +179,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
             encoded = tool.encode(documents[i : i + 500])
             decoded = tool.decode(encoded)
             digest = lambda many: [hashlib.sha256(x).hexdigest() for x in many]
-            yield {key: batch.column(key).slice(i, 500), "n_tokens": [len(x) // 4 for x in encoded], "ids_sha256": digest(encoded), "decoded_sha256": digest(decoded)}
+            out = {key: batch.column(key).slice(i, 500), "n_tokens": [len(x) // 4 for x in encoded], "ids_sha256": digest(encoded), "decoded_sha256": digest(decoded)}
+            yield out | ({"ids": [np.frombuffer(x, "<i4") for x in encoded]} if with_ids else {})
 
-    return by_batch(docs.select(key, text), rows, f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return by_batch(docs.select(key, text), rows, f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from .common import saved
 
 
-def redealt(df: DataFrame, column: str) -> DataFrame:
-    """df dealt out by another column, so that a later join shuffles both of its sides and can split skewed ones."""
-    return df.repartition(F.col(column))
+def redealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt out by a hash of its keys, so that a later join by them shuffles both sides and can split skewed ones."""
+    return df.repartition(F.xxhash64(*keys))
 
 
 def _hook(edges: DataFrame, large: bool) -> DataFrame:
     """One star pass over (u, v)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = redealt(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "m")
+    least = redealt(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "u")
     joined = both.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

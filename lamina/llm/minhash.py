@@ -166,7 +166,7 @@ def _verified(cells: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     both and compares all of their pairs.
     """
     sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = cells.join(redealt(sizes, "blocks"), "cell").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = cells.join(redealt(sizes, "cell"), "cell").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     rows = rows.join(texts, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("id", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text")
     rows = rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "id")
@@ -200,12 +200,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "
     classes = saved(prints.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
     buckets = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("many")).where("many > 1").select("bucket", "centre")
-    stars = buckets.join(redealt(shared, "centre"), "bucket").where("rep <> centre").select("rep", "centre").distinct()
+    stars = buckets.join(redealt(shared, "bucket"), "bucket").where("rep <> centre").select("rep", "centre").distinct()
     cells = components(stars, "rep", "centre").withColumnRenamed("component", "cell")
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     found = components(_verified(saved(cells), texts, n, percent))
 
     owners = classes.select("hi", "lo", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("component"))
-    out = prints.drop("bands").join(redealt(owners, "component"), ["hi", "lo"], "left")
+    out = prints.drop("bands").join(redealt(owners, "hi", "lo"), ["hi", "lo"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

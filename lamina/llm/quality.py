@@ -8,8 +8,8 @@ vectors. A network of one hidden layer, trained with numpy, gives a logit; a tem
 sample that the network did not see, and the share of label 1, make it a calibrated probability.
 
 Null and empty texts are documents of mean zero. Without labelled documents of both classes every score is the
-share of label 1. Repeated rows get equal scores; an empty table gives an empty result. Columns other than the
-two that are named are not read.
+share of label 1. Repeated rows get equal scores; an empty table gives an empty result. Only the column
+that is given is read.
 """
 
 from __future__ import annotations
@@ -17,12 +17,15 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
-from .common import by_batch, texts
+from .common import prepare
 
 DIM, NONZERO, WINDOW = 96, 6, 2
 FREQUENT, HIDDEN, EPOCHS = 5000, 32, 300
@@ -183,16 +186,17 @@ def probabilities(model: Model, many: list[str], rows: Rows | None = None) -> np
 _KNOWN: dict[int, Rows] = {}
 
 
-def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) for every row of docs."""
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A function from a text column to the column of its scores."""
     number = zlib.crc32(model.vectors.tobytes())
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # its rows are bounded by FREQUENT
+    shared = prepare(spark).sparkContext.broadcast(model)  # its rows are bounded by FREQUENT
 
-    def rows(batch):
+    @F.pandas_udf("double")
+    def score(many: pd.Series) -> pd.Series:
         model = shared.value
         if number not in _KNOWN:
             _KNOWN.clear()
             _KNOWN[number] = Rows(model.rows)
-        return {key: batch.column(key), "score": probabilities(model, texts(batch, text), _KNOWN[number])}
+        return pd.Series(probabilities(model, [x or "" for x in many], _KNOWN[number]))
 
-    return by_batch(docs.select(key, text), rows, f"{key} long, score double")
+    return score

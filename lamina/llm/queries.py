@@ -11,20 +11,21 @@ from .common import crc_remainder, read
 
 #: Where the tokenizer's ranks are, and how it cuts texts.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+#: The score from which a document counts as toxic.
+LEAST_TOXIC = 0.7
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on labelled rows of four folds in five; all rows are scored."""
     docs, held_out = read(spark, sf_dir, "documents"), crc_remainder(F.col("doc_id"), 5) == 0
     model = quality.fit(*labelled.sample(docs, read(spark, sf_dir, "labels"), "quality", held_out))
-    return labelled.predictions(quality.scores(docs, model), held_out, 0.3)
+    return labelled.predictions(docs.select("doc_id", quality.scorer(spark, model)("text").alias("score")), held_out, 0.3)
 
 
-def toxic_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of docs, by a model fitted on labelled rows of two folds in three."""
-    held_out = crc_remainder(F.col("doc_id"), 3) == 1
-    model = toxicity.fit(*labelled.sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "toxic", held_out))
-    return labelled.predictions(toxicity.scores(docs, model), held_out, 0.7)
+def toxic_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """A model fitted on labelled rows of two folds in three."""
+    rows = labelled.sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "toxic", crc_remainder(F.col("doc_id"), 3) == 1)
+    return toxicity.fit(*rows)
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +56,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxic_scores(spark, read(spark, sf_dir, "documents"), sf_dir)
+    score = toxicity.scorer(spark, toxic_model(spark, sf_dir))
+    return labelled.predictions(read(spark, sf_dir, "documents").select("doc_id", score("text").alias("score")), crc_remainder(F.col("doc_id"), 3) == 1, LEAST_TOXIC)
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

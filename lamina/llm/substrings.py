@@ -11,7 +11,7 @@ The result keeps the offsets, in characters of the original text, of the parts t
 
 Null texts stay null, and have no units, as have empty ones. doc_id names a document: rows that repeat one rank
 alike. A row without doc_id loses only repeats inside its own text. An empty table gives an empty result. Other
-columns of the input, whatever their names, are not touched.
+columns of the input are handed on.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -106,21 +107,22 @@ def without(text: str, repeats: set[int], least_words: int) -> tuple[str, list[t
 
 
 def drop_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, n_units, n_removed, removed_starts, removed_ends) for every row of docs."""
+    """docs with the text left over, and n_units, n_removed, removed_starts, removed_ends in place of such columns."""
     prepare(docs.sparkSession)
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = units(docs)
+    found = units(docs, key, text)
     firsts = found.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("many")).where("many > 1").select("hi", "lo", "first")
-    repeats = found.join(redealt(firsts, "first"), ["hi", "lo"]).where("doc_id <> first")
-    marks = repeats.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-
-    def rows(batch):
-        out = {c: [] for c in ("text", "n_units", "n_removed", "removed_starts", "removed_ends")}
-        for x, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist(), strict=True):
-            left, gone, n, removed = without(x, set(places or ()), least_words) if x is not None else (None, [], 0, 0)
-            for c, v in zip(out, (left, n, removed, [a for a, _ in gone], [b for _, b in gone]), strict=True):
-                out[c].append(v)
-        return {"doc_id": batch.column("doc_id")} | out
-
-    joined = docs.join(redealt(marks, "places"), "doc_id", "left").select("doc_id", "text", "places")
-    return by_batch(joined, rows, "doc_id long, text string, n_units long, n_removed long, removed_starts array<long>, removed_ends array<long>")
+    repeats = found.join(redealt(firsts, "hi", "lo"), ["hi", "lo"]).where("doc_id <> first")
+    marks = repeats.groupBy(F.col("doc_id").alias("marked doc")).agg(F.collect_set("place").alias("marked places"))
+
+    @F.pandas_udf("text string, n_units long, n_removed long, removed_starts array<long>, removed_ends array<long>")
+    def clean(many: pd.Series, marked: pd.Series) -> pd.DataFrame:
+        out = []
+        for x, places in zip(many, marked, strict=True):
+            left, gone, n, removed = without(x, set() if places is None else set(places.tolist()), least_words) if x is not None else (None, [], 0, 0)
+            out.append((left, n, removed, [a for a, _ in gone], [b for _, b in gone]))
+        return pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_starts", "removed_ends"])
+
+    joined = docs.join(redealt(marks, "marked doc"), docs[key] == F.col("marked doc"), "left").withColumn("cleaned text", clean(F.col(text), F.col("marked places")))
+    facts = ("n_units", "n_removed", "removed_starts", "removed_ends")
+    own = [F.col("cleaned text.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in facts]
+    return joined.select(*own, *(F.col(f"cleaned text.{c}").alias(c) for c in facts))

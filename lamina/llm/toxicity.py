@@ -7,14 +7,15 @@ the norms that the words' features have if all are different, and its features a
 The machine is trained on sentences. A sentence of a toxic document is positive if it holds a word that, itself or
 by its beginning, marks toxic documents of the sample and stands in no other document; sentences of other documents are negative. A sentence is
 seen through its most toxic word: words are chosen, landmarks picked among them, the machine is fitted in the
-landmarks' space, and words are chosen again by its scores, with the worst false alarms added as negatives. A
+landmarks' space, and words are chosen again by its scores, with the worst false alarms added as negatives. Frequent marks with one
+letter put in are positive too. A
 document's margin is the greatest of its sentences' margins; a logistic curve makes it a probability.
 
 Letters that are spelled out with blanks, dots, dashes, underscores or stars between them are read as one word too.
 
 Null and empty texts get the score of a margin below all others. Without labelled documents of both classes every
 score is the share of label 1, at most one half. Repeated rows get equal scores; an empty table gives an empty
-result. Columns other than the two that are named are not read.
+result. Only the column that is given is read.
 """
 
 from __future__ import annotations
@@ -24,12 +25,15 @@ import string
 import unicodedata
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
-from .common import by_batch, texts
+from .common import prepare
 
 SPAN, DECAY = 5, 0.7
 LANDMARKS, NEGATIVES = 64, 12_000
@@ -222,9 +226,11 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
         values, vectors = np.linalg.eigh(products(picked, tables).astype(float))
         root = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
         positives = sorted(chosen)
-        z = products(positives + negatives, tables).astype(float) @ root
-        y = np.r_[np.ones(len(positives)), -np.ones(len(negatives))]
-        weight = np.r_[np.array([np.sqrt(chosen[w]) for w in positives]), np.ones(len(negatives))]
+        frequent = [w for w, k in chosen.items() if k >= max(3, 0.01 * len(bags)) and len(w) >= 5]
+        gaps = sorted({g for w in frequent for g in _gapped(w)} - set(clean) - set(chosen))
+        z = products(positives + gaps + negatives, tables).astype(float) @ root
+        y = np.r_[np.ones(len(positives) + len(gaps)), -np.ones(len(negatives))]
+        weight = np.r_[np.array([np.sqrt(chosen[w]) for w in positives]), np.full(len(gaps), 0.5), np.ones(len(negatives))]
         weight[y > 0] /= weight[y > 0].sum()
         weight[y < 0] /= weight[y < 0].sum()
         w = _svm(z, y, weight)
@@ -234,13 +240,31 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
         negatives = [*dict.fromkeys([*negatives, *alarms])]
         chosen = Counter(max(hit, key=lambda x: (score[x], x)) for hit in bags)
     margin = np.array([max((score[x] for x in own), default=_BELOW) for own in words])
-    labels = np.array([y for _, y in rows])
-    low, high = np.quantile(margin[labels == 0], 0.995), np.quantile(margin[labels == 1], 0.1)
-    model.middle = float((low + high) / 2)
-    model.slope = float(np.clip(4 / max(abs(high - low), 1e-3), 2, 40))
+    _calibrate(model, margin, np.array([y for _, y in rows]))
     return model
 
 
+def _calibrate(model: Model, margin: np.ndarray, y: np.ndarray) -> None:
+    """Put probability 0.7 where toxic documents are told from others best, a false alarm counting three times."""
+    order = np.argsort(margin, kind="stable")
+    margin, y = margin[order], y[order]
+    caught = 1 - np.r_[0, np.cumsum(y == 1)] / (y == 1).sum()
+    alarms = 1 - np.r_[0, np.cumsum(y == 0)] / (y == 0).sum()
+    bounds = np.r_[margin[0] - 1, margin, margin[-1] + 1]
+    gap = np.diff(bounds)
+    worth = np.where(gap > 1e-6, caught - 3 * alarms, -np.inf)
+    near = np.flatnonzero(worth >= worth.max() - 0.002)
+    cut = near[gap[near].argmax()]
+    model.slope = 8.0
+    model.middle = float((bounds[cut] + bounds[cut + 1]) / 2 - np.log(0.7 / 0.3) / model.slope)
+
+
+def _gapped(word: str) -> list[str]:
+    """The word with one letter put in, at each of its inner places."""
+    letters = zlib.crc32(word.encode())
+    return [word[:i] + chr(97 + (letters >> i) % 26) + word[i:] for i in range(2, len(word) - 1)]
+
+
 def margins(model: Model, words: list[str]) -> np.ndarray:
     if not words:
         return np.zeros(0)
@@ -252,19 +276,20 @@ _KNOWN: dict[int, dict[str, float]] = {}
 REMEMBERED = 400_000
 
 
-def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) for every row of docs."""
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A function from a text column to the column of its scores."""
     number = zlib.crc32(model.table.tobytes()) ^ hash(model.bias)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a megabyte, whatever the data
+    shared = prepare(spark).sparkContext.broadcast(model)  # a megabyte, whatever the data
 
-    def rows(batch):
+    @F.pandas_udf("double")
+    def score(many: pd.Series) -> pd.Series:
         model = shared.value
         if number not in _KNOWN:
             _KNOWN.clear()
         known = _KNOWN.setdefault(number, {})
         if len(known) > REMEMBERED:
             known.clear()
-        found = [tokens(x) for x in texts(batch, text)]
+        found = [tokens(x or "") for x in many]
         if model.constant is None:
             new = {t for own in found for t in own if t not in known}
             folded = {t: fold(t) for t in new}
@@ -272,6 +297,6 @@ def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
             margin = dict(zip(words, margins(model, words).tolist(), strict=True))
             known.update((t, margin.get(w, _BELOW)) for t, w in folded.items())
         greatest = np.array([max((known.get(t, _BELOW) for t in own), default=_BELOW) for own in found])
-        return {key: batch.column(key), "score": model.probability(greatest)}
+        return pd.Series(model.probability(greatest))
 
-    return by_batch(docs.select(key, text), rows, f"{key} long, score double")
+    return score

@@ -113,7 +113,7 @@ def linked(vectors: DataFrame, cosine: float = 0.95, recall: float = RECALL, key
 
     placed = by_batch(points.select("vec_id", "embedding"), place, "vec_id long, slot int, bucket long")
     shared = placed.groupBy("slot", "bucket").agg(F.count("*").alias("many")).where("many > 1").withColumn("blocks", F.ceil(F.col("many") / BLOCK).cast("int"))
-    members = placed.join(redealt(shared, "many"), ["slot", "bucket"]).withColumn("own", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
+    members = placed.join(redealt(shared, "slot", "bucket"), ["slot", "bucket"]).withColumn("own", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
     pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("vec_id", "slot", "bucket", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     groups = pairs.join(points, "vec_id").repartition("slot", "bucket", "i", "j").sortWithinPartitions("slot", "bucket", "i", "j", "vec_id")
@@ -142,7 +142,7 @@ def linked(vectors: DataFrame, cosine: float = 0.95, recall: float = RECALL, key
     counts = out.groupBy("vec_id").agg(F.sum("links").alias("links"))
     named = classes.drop("embedding").join(counts.withColumnRenamed("vec_id", "rep"), "rep", "left").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("hi", "lo", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    joined = marked.drop("embedding").join(redealt(named, "component_id"), ["hi", "lo"], "left")
+    joined = marked.drop("embedding").join(redealt(named, "hi", "lo"), ["hi", "lo"], "left")
     result = joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return result.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

@@ -120,9 +120,9 @@ def records(pages: DataFrame, least_bytes: int = 0, key: str = "page_id", url: s
     pages = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(payload).alias("payload"))
     known = pages.select("page_id", digest("payload").alias("sha1"), F.octet_length(F.coalesce("payload", F.lit(""))).alias("size")).where(f"size >= {least_bytes}")
     firsts = known.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("many")).where("many > 1 and first is not null").select("sha1", "first")
-    again = known.join(redealt(firsts, "first"), "sha1").where("not (page_id <=> first)").select(F.col("page_id").alias("id"), "sha1", "first").distinct()
+    again = known.join(redealt(firsts, "sha1"), "sha1").where("not (page_id <=> first)").select(F.col("page_id").alias("id"), "sha1", "first").distinct()
     rows = pages.withColumn("sha1", digest("payload"))
-    rows = rows.join(redealt(again, "first").withColumnRenamed("sha1", "sha"), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sha1") == F.col("sha")), "left")
+    rows = rows.join(redealt(again, "id", "sha1").withColumnRenamed("sha1", "sha"), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sha1") == F.col("sha")), "left")
     schema = pa.schema([("record", pa.string()), ("chunk", pa.int32()), ("whole", pa.bool_()), ("data", pa.binary()), ("digest", pa.string())])
 
     def write(batches):
