@@ -1,0 +1 @@
+"""A layered analytics engine on Spark: landing, bronze, silver, gold, publishing."""
