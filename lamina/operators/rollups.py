@@ -19,14 +19,15 @@ def value_rollup(lines: DataFrame, key: str, quantity: str, price: str, latest:
     )
 
 
-def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column_name, null_count, min_value, max_value) as text, for each column, from one pass."""
+def column_profile(df: DataFrame, columns: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """(column_name, null_count, min_value, max_value) as text, for each column, from one pass; by: and for each group."""
     names = columns or df.columns
     exprs: list[Column] = []
     for i, c in enumerate(names):
         own = F.col(f"`{c}`")
         exprs.append(F.struct(F.lit(c).alias("column_name"), F.count_if(own.isNull()).alias("null_count"), F.min(own).cast("string").alias("min_value"), F.max(own).cast("string").alias("max_value")).alias(f"p{i}"))
-    return df.agg(*exprs).select(F.inline(F.array(*(f"p{i}" for i in range(len(names))))))
+    grouped = df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    return grouped.select(*(by or []), F.inline(F.array(*(f"p{i}" for i in range(len(names))))))
 
 
 def batch_checksum(files: DataFrame, path: str = "path", checksum: str = "checksum") -> DataFrame:

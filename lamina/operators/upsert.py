@@ -33,22 +33,26 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return missing_keys(target, known, keys).unionByName(source, allowMissingColumns=True)
 
 
+def dealt(df: DataFrame, *partitions: str | None) -> DataFrame:
+    """Rows dealt out by the partitions that they are written to: few files for each, and large ones split."""
+    named = [p for p in partitions if p]
+    return df.hint("rebalance", *named) if named else df
+
+
 def append(df: DataFrame, path: str, partition: str | None = None) -> None:
-    writer = df.write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    dealt(df, partition).write.mode("append").partitionBy(*([partition] if partition else [])).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Replace the partitions that df has rows of, and no others, in one commit; rows without a partition stay out."""
     rows = df.where(F.col(partition).isNotNull())
-    rows.repartition(F.col(partition), F.pmod(F.xxhash64(*[c for c in df.columns if c != partition][:3]), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    dealt(rows, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str, partition: str | None = None) -> None:
     """Replace a whole table, which df may read: new files stand beside the old ones until they are complete."""
     storage, fresh = Storage(spark), f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(fresh)
+    dealt(df, partition).write.mode("overwrite").partitionBy(*([partition] if partition else [])).parquet(fresh)
     old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
     if storage.exists(path):
         storage.rename(path, old)

@@ -24,10 +24,10 @@ from ..sources.readers import read_files
 from ..sources.storage import Storage
 from . import budget, gold, silver  # noqa: F401  they register the models
 from .bronze import Bronze
-from .checks import check_sql
+from .checks import chain, check_sql
 from .models import MODELS, Build, Context
 from .publish import publish
-from .retail import BRONZE, bronze
+from .retail import bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -430,10 +430,10 @@ def bronze_apply(spark, sf_dir):
     return tool.table("events").select("event_id", "event_date", "value")
 
 
-@query("SELECT CAST(o_orderkey AS INT) AS order_id, CAST(o_orderdate AS DATE) AS order_date FROM orders WHERE o_orderkey IN (SELECT CAST(id AS BIGINT) FROM (" + BRONZE["orders"] + "))")
+@query(f"{chain('fct_orders_sales_mart')} SELECT order_id, order_date FROM fct_orders_sales_mart WHERE order_date >= DATE '2001-06-24'")
 def publish_partitioned(spark, sf_dir):
-    """A fact published by days, read back."""
-    done = publish(spark, Build(bronze(spark, sf_dir)), "fact_orders", scratch(spark))
+    """A mart's days of a daily run published as partitions, and read back."""
+    done = publish(spark, Build(bronze(spark, sf_dir), Context(logical_date=date(2001, 7, 1))), "fct_orders_sales_mart", scratch(spark))
     return spark.read.parquet(done.path).select("order_id", "order_date")
 
 

@@ -22,10 +22,13 @@ def schema_hash(df: DataFrame) -> str:
     return md5(df.schema.json())
 
 
-def file_details(df: DataFrame, storage: Storage, folder: str) -> list[dict]:
-    """The data files of a folder, with their rows; df reads the folder, and all files are counted in one job."""
-    rows = {r[0]: r[1] for r in df.groupBy(F.url_decode(F.col("_metadata.file_path"))).count().collect()}
-    counts = {_plain(k): v for k, v in rows.items()}
+def file_rows(df: DataFrame) -> dict[str, int]:
+    """Rows of each file that df reads, in one job."""
+    return {_plain(r[0]): r[1] for r in df.groupBy(F.url_decode(F.col("_metadata.file_path"))).count().collect()}
+
+
+def file_details(counts: dict[str, int], storage: Storage, folder: str) -> list[dict]:
+    """The data files of a folder."""
     parts = storage.parts(folder)
     return [{"path": e.path, "size_bytes": e.size, "row_count": counts.get(_plain(e.path), 0), "checksum": f"len:{e.size}-mtime:{e.modified}"} for e in parts]
 
@@ -38,10 +41,13 @@ def batch_checksum(files: list[dict]) -> str:
     return md5("|".join(f"{f.get('path', '')}:{f.get('checksum', '')}" for f in sorted(files, key=lambda f: f.get("path", ""))))
 
 
-def profile(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[str, dict]]:
-    """Null counts, and least and greatest values as text, of each column."""
-    found = column_profile(df, columns).collect()
-    return {r["column_name"]: r["null_count"] for r in found}, {r["column_name"]: {"min": r["min_value"], "max": r["max_value"]} for r in found}
+def profile(df: DataFrame, columns: list[str], by: str) -> dict[object, tuple[dict[str, int], dict[str, dict]]]:
+    """Null counts, and least and greatest values as text, of each column, for each batch; all in one job."""
+    out: dict[object, tuple[dict, dict]] = {}
+    for r in column_profile(df, columns, [by]).collect():
+        nulls, ranges = out.setdefault(r[by], ({}, {}))
+        nulls[r["column_name"]], ranges[r["column_name"]] = r["null_count"], {"min": r["min_value"], "max": r["max_value"]}
+    return out
 
 
 def partition_of(manifest: dict) -> tuple[str, str]:
