@@ -48,7 +48,7 @@ class Registry:
     def rows(self) -> DataFrame:
         if not Storage(self.spark).exists(self.path):
             return self.spark.createDataFrame([], REGISTRY_SCHEMA)
-        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self.path).select(*REGISTRY)
 
     def of(self, run: Run, table: str) -> DataFrame:
         return self.rows().where((F.col("source_system") == run.system) & (F.col("source_schema") == run.schema) & (F.col("source_table") == table))

@@ -79,7 +79,7 @@ def differences(df: DataFrame, contract: list[Field], nullability: bool = False)
         a, b = own[i] if i < len(own) else None, contract[i] if i < len(contract) else None
         if a is None or b is None:
             out.append(f"{i}: {'no' if a is None else 'extra'} column {(a or b).name}")
-        elif (a.name, a.kind) != (b.name, b.kind.replace(" ", "").upper()):
+        elif (a.name, a.kind) != (b.name, contract_type(spark_type(b.kind))):
             out.append(f"{i}: {a.name} {a.kind} is not {b.name} {b.kind}")
         elif nullability and a.nullable and not b.nullable:
             out.append(f"{i}: {a.name} may be null")
