@@ -266,9 +266,8 @@ def _gapped(word: str) -> list[str]:
 
 
 def margins(model: Model, words: list[str]) -> np.ndarray:
-    if not words:
-        return np.zeros(0)
-    return products(words, [model.table])[:, 0] + model.bias
+    parts = [products(words[i : i + 20_000], [model.table])[:, 0] for i in range(0, len(words), 20_000)]
+    return np.concatenate(parts) + model.bias if parts else np.zeros(0)
 
 
 #: Margins of tokens that a worker has met, for the model of that number; forgotten beyond the bound.
