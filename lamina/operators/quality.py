@@ -44,6 +44,17 @@ class Rule:
         return {"not_null": null_rows, "unique": repeated_values, "positive": not_positive}[self.kind](df, self.column)
 
 
+def broken_counts(rules: list[Rule], table) -> dict[Rule, int]:
+    """How many rows break each rule; the rules about single values of a model are counted in one pass over it."""
+    out: dict[Rule, int] = {}
+    simple = [r for r in rules if r.kind in ("not_null", "positive")]
+    for model in dict.fromkeys(r.model for r in simple):
+        own = [r for r in simple if r.model == model]
+        tests = [F.count_if(F.col(r.column).isNull() if r.kind == "not_null" else F.col(r.column) <= 0) for r in own]
+        out.update(zip(own, table(model).agg(*(t.alias(f"n{i}") for i, t in enumerate(tests))).first(), strict=True))
+    return out | {r: r.broken(table).count() for r in rules if r not in out}
+
+
 def report(rules: list[Rule], table) -> DataFrame:
     """(model, column_name, rule, broken) for every rule; one count each, in one job."""
     parts = [r.broken(table).agg(F.count("*").alias("broken")).select(F.lit(r.model).alias("model"), F.lit(r.column).alias("column_name"), F.lit(r.kind).alias("rule"), "broken") for r in rules]

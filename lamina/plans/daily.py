@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import Rule
+from ..operators.quality import Rule, broken_counts
 from ..sources.groups import TABLES, Table
 from ..sources.landing import Run, land
 from ..sources.storage import Storage
@@ -45,8 +45,7 @@ def land_all(spark: SparkSession, sources: Mapping[str, DataFrame], run: Run, ta
 
 def broken_rules(build: Build, rules: Iterable[Rule] = RULES) -> dict[str, int]:
     """How many rows break each rule that any row breaks."""
-    counts = {f"{r.kind}:{r.model}.{r.column}": r.broken(build).count() for r in rules}
-    return {k: n for k, n in counts.items() if n}
+    return {f"{r.kind}:{r.model}.{r.column}": n for r, n in broken_counts([*rules], build).items() if n}
 
 
 def refresh(spark: SparkSession, build: Build, root: str, wanted: str = DAILY, tags: Iterable[str] = (), check: bool = True, strict: bool = True, report: Report | None = None) -> Report:
