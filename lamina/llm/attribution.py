@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import by_batch, texts
+from .common import by_batch, hold, texts
 
 RULES = ("start", "end", "majority")
 
@@ -55,6 +55,7 @@ def field_spans(fields: list[str], separator: str = "\n") -> tuple[str, list[int
 
 def token_spans(text: str, path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """First and last character of each token."""
+    hold("attribution", _encoding.cache_clear)
     tool, widths = _encoding(path, pattern)
     ends = np.cumsum(widths[np.array(tool.encode_ordinary(text), dtype=np.int64)])
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends

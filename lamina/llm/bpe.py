@@ -23,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import by_batch, texts
+from .common import by_batch, hold, texts
 
 LONG = 256
 #: Pieces that a worker remembers; it forgets them all beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _STEPS = """
 WITH RECURSIVE walk(step, w, p, id) AS (
@@ -62,7 +62,7 @@ class Codec:
         self.known: dict[str, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)])
         self.merges = {(a, b): r for t, r in self.ranks.items() for i in range(1, len(t)) if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         pairs = np.array([*self.merges], dtype=np.int64).reshape(-1, 2)
         self._table("merges", pair=(pairs[:, 0] << 32) + pairs[:, 1], rank=np.array([*self.merges.values()], dtype=np.int64))
         # DuckDB concatenates text, not blobs: a byte stands as the character of its number
@@ -144,7 +144,14 @@ class Codec:
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 
+def _forget() -> None:
+    for tool in _CODECS.values():
+        tool.db.close()
+    _CODECS.clear()
+
+
 def codec(path: str, pattern: str) -> Codec:
+    hold("bpe", _forget)
     if (path, pattern) not in _CODECS:
         _CODECS[path, pattern] = Codec(path, pattern)
     return _CODECS[path, pattern]

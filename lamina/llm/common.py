@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
@@ -72,6 +75,25 @@ def _split(schema: str) -> list[str]:
     return [x for x in schema.split(",") if x.strip()]
 
 
+_HOLDER: list[tuple[str, Callable[[], None]]] = []
+
+
+def trim() -> None:
+    """Give memory that is free inside this process back to the machine, where the C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def hold(name: str, forget: Callable[[], None]) -> None:
+    """Let one operator at a time remember things in a worker, which runs tasks of many; the one before it forgets."""
+    if _HOLDER and _HOLDER[0][0] != name:
+        _HOLDER.pop()[1]()
+        trim()
+    if not _HOLDER:
+        _HOLDER.append((name, forget))
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; a null counts as an empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]

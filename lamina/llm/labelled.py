@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import prepare
 
 #: Labelled documents of each class that a classifier is fitted on at most, and their greatest length in characters.
-PER_CLASS, LONGEST = 3000, 20_000
+PER_CLASS, LONGEST = 1500, 20_000
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, per_class: int = PER_CLASS, longest: int = LONGEST) -> tuple[list[tuple[str, int]], float]:

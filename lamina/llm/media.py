@@ -166,7 +166,7 @@ def _read_table(data: bytes, at: int, head: Header) -> dict[str, object]:
 
 def parse(data: bytes) -> Stream:
     """Frames, tags, tables and checks of a stream; damaged parts are skipped and counted."""
-    out, at, end, lost = Stream(), 0, len(data), False
+    out, at, end, lost, before = Stream(), 0, len(data), False, None
     if data[-128:-125] == b"TAG" and end >= 128:
         end -= 128
         out.tags.setdefault("ID3v1", data[end + 3 : end + 33].rstrip(b"\0 ").decode("latin-1"))
@@ -177,7 +177,10 @@ def parse(data: bytes) -> Stream:
             continue
         head = header(data[at : at + 4])
         after = at + head.length if head else 0
-        if head and after <= end and (after == end or not lost or header(data[after : after + 4])):
+        kind = (head.version, head.layer, head.rate) if head else None
+        # a frame is one if it ends the stream, if another of its kind follows, or if one of its kind has just ended
+        follows = head and after <= end and (after == end or (not lost and kind == before) or ((x := header(data[after : after + 4])) and (x.version, x.layer, x.rate) == kind))
+        if follows:
             if head.protected and head.layer == 3:
                 out.checked += 1
                 out.failed += data[at + 4 : at + 6] != struct.pack(">H", crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + head.side]))
@@ -186,7 +189,7 @@ def parse(data: bytes) -> Stream:
             else:
                 out.offsets.append(at)
                 times[head.rate] = times.get(head.rate, 0) + head.samples
-            at, lost = after, False
+            at, lost, before = after, False, kind
             continue
         if not lost:
             out.resyncs, lost = out.resyncs + 1, True

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, prepare, saved
+from .common import by_batch, hold, prepare, saved
 from .graph import components, redealt
 
 UNIVERSE_BITS = 20
@@ -52,11 +52,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Words whose hashes a worker remembers.
+REMEMBERED = 250_000
+
+
 class Words(dict):
     """64-bit hashes of words; forgets them when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > REMEMBERED:
             self.clear()
         self[word] = out = xxhash.xxh3_64_intdigest(word)
         return out
@@ -67,6 +71,7 @@ _WORDS = Words()
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles."""
+    hold("minhash", _WORDS.clear)
     words = (text or "").encode().lower().split()
     h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     if not len(h):

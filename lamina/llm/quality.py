@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import hold, prepare
 
 DIM, NONZERO, WINDOW = 96, 6, 2
 FREQUENT, HIDDEN, EPOCHS = 5000, 32, 300
@@ -56,6 +56,10 @@ def _index(name: str) -> np.ndarray:
     return out
 
 
+#: Tokens whose rows a worker remembers.
+REMEMBERED = 250_000
+
+
 class Rows(dict):
     """The row of a token, and that of its repetition, by the token."""
 
@@ -64,7 +68,7 @@ class Rows(dict):
         self.names, self.other = known, known["\0?"]
 
     def __missing__(self, token: str) -> tuple[int, int]:
-        if len(self) > 400_000:
+        if len(self) > REMEMBERED:
             self.clear()
         form = shape(token)
         plain = self.names.get(token.lower()) if token.islower() or token.istitle() else None
@@ -194,6 +198,7 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     @F.pandas_udf("double")
     def score(many: pd.Series) -> pd.Series:
         model = shared.value
+        hold("quality", _KNOWN.clear)
         if number not in _KNOWN:
             _KNOWN.clear()
             _KNOWN[number] = Rows(model.rows)

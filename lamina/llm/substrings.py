@@ -122,7 +122,11 @@ def drop_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, key: str = "do
             out.append((left, n, removed, [a for a, _ in gone], [b for _, b in gone]))
         return pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_starts", "removed_ends"])
 
-    joined = docs.join(redealt(marks, "marked doc"), docs[key] == F.col("marked doc"), "left").withColumn("cleaned text", clean(F.col(text), F.col("marked places")))
+    # other columns travel in one, so that their names, whatever they are, meet none of those used here
     facts = ("n_units", "n_removed", "removed_starts", "removed_ends")
-    own = [F.col("cleaned text.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in facts]
-    return joined.select(*own, *(F.col(f"cleaned text.{c}").alias(c) for c in facts))
+    others = [c for c in docs.columns if c != text and c not in facts]
+    packed = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("body"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"))
+    joined = packed.join(redealt(marks, "marked doc"), F.col("doc") == F.col("marked doc"), "left")
+    cleaned = joined.select("rest", clean(F.col("body"), F.col("marked places")).alias("cleaned"))
+    own = [F.col("cleaned.text").alias(c) if c == text else F.col(f"rest.`{c}`") for c in docs.columns if c not in facts]
+    return cleaned.select(*own, *(F.col(f"cleaned.{c}").alias(c) for c in facts))

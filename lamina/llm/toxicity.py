@@ -33,11 +33,15 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import hold, prepare, trim
 
 SPAN, DECAY = 5, 0.7
 LANDMARKS, NEGATIVES = 64, 12_000
 WIDEST = 40
+#: Rounds of fitting, and how much more a false alarm of the last round weighs for each unit of its margin.
+ROUNDS, ALARM = 4, 50.0
+#: Least eigenvalue of the landmarks' kernel that counts, and the weight of the squared norm in the machine's loss.
+FLOOR, RIDGE = 0.01, 3e-4
 _WAYS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
 _SPELLED = re.compile(r"(?<!\w)\w(?:[ .\-_*]\w){3,}(?!\w)")
 _SENTENCE = re.compile(r"[.!?]+\s+|\n+")
@@ -138,7 +142,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.middle), -30, 30)))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
+def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """The squared-hinge machine, by Newton steps; the last coordinate is the bias."""
     z, w = np.c_[z, np.ones(len(z))], np.zeros(z.shape[1] + 1)
     for _ in range(30):
@@ -211,8 +215,8 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
     chosen = Counter(w for hit in bags for w in hit)
     by_hash = sorted(clean, key=lambda w: zlib.crc32(w.encode()))
     negatives = [*dict.fromkeys([*(w for w, _ in clean.most_common(NEGATIVES // 3)), *by_hash[:NEGATIVES]])]
-    model = None
-    for _ in range(3):
+    model, score = None, {}
+    for _ in range(ROUNDS):
         picked: list[str] = []
         tables: list[np.ndarray] = []
         for w, _ in sorted(chosen.items(), key=lambda x: (-x[1], x[0])):
@@ -224,13 +228,13 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
             picked.append(negatives[i])
             tables.append(_table(negatives[i]))
         values, vectors = np.linalg.eigh(products(picked, tables).astype(float))
-        root = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
+        root = vectors[:, values > FLOOR] / np.sqrt(values[values > FLOOR])
         positives = sorted(chosen)
         frequent = [w for w, k in chosen.items() if k >= max(3, 0.01 * len(bags)) and len(w) >= 5]
         gaps = sorted({g for w in frequent for g in _gapped(w)} - set(clean) - set(chosen))
         z = products(positives + gaps + negatives, tables).astype(float) @ root
         y = np.r_[np.ones(len(positives) + len(gaps)), -np.ones(len(negatives))]
-        weight = np.r_[np.array([np.sqrt(chosen[w]) for w in positives]), np.full(len(gaps), 0.5), np.ones(len(negatives))]
+        weight = np.r_[np.array([np.sqrt(chosen[w]) for w in positives]), np.full(len(gaps), 0.5), np.array([1 + ALARM * max(0.0, score.get(w, -1.0) + 0.7) for w in negatives])]
         weight[y > 0] /= weight[y > 0].sum()
         weight[y < 0] /= weight[y < 0].sum()
         w = _svm(z, y, weight)
@@ -241,11 +245,16 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
         chosen = Counter(max(hit, key=lambda x: (score[x], x)) for hit in bags)
     margin = np.array([max((score[x] for x in own), default=_BELOW) for own in words])
     _calibrate(model, margin, np.array([y for _, y in rows]))
+    del folded, words, seen, sentences, score, tables
+    trim()
     return model
 
 
 def _calibrate(model: Model, margin: np.ndarray, y: np.ndarray) -> None:
-    """Put probability 0.7 where toxic documents are told from others best, a false alarm counting three times."""
+    """Put probability 0.7 where toxic documents are told from others best, a false alarm counting three times.
+
+    Within the gap that tells them apart it lies nearer to the others, as words with gaps lie in between.
+    """
     order = np.argsort(margin, kind="stable")
     margin, y = margin[order], y[order]
     caught = 1 - np.r_[0, np.cumsum(y == 1)] / (y == 1).sum()
@@ -256,7 +265,7 @@ def _calibrate(model: Model, margin: np.ndarray, y: np.ndarray) -> None:
     near = np.flatnonzero(worth >= worth.max() - 0.002)
     cut = near[gap[near].argmax()]
     model.slope = 8.0
-    model.middle = float((bounds[cut] + bounds[cut + 1]) / 2 - np.log(0.7 / 0.3) / model.slope)
+    model.middle = float(bounds[cut] + 0.4 * gap[cut] - np.log(0.7 / 0.3) / model.slope)
 
 
 def _gapped(word: str) -> list[str]:
@@ -272,7 +281,7 @@ def margins(model: Model, words: list[str]) -> np.ndarray:
 
 #: Margins of tokens that a worker has met, for the model of that number; forgotten beyond the bound.
 _KNOWN: dict[int, dict[str, float]] = {}
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
@@ -283,6 +292,7 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     @F.pandas_udf("double")
     def score(many: pd.Series) -> pd.Series:
         model = shared.value
+        hold("toxicity", _KNOWN.clear)
         if number not in _KNOWN:
             _KNOWN.clear()
         known = _KNOWN.setdefault(number, {})
