@@ -41,12 +41,13 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    nth = F.row_number().over(W.partitionBy("doc_id").orderBy(F.lit(1)))
+    # other columns travel in one, so that their names meet none of those used here
+    packed = docs.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    packed = packed.withColumn("own row", F.row_number().over(W.partitionBy("doc_id").orderBy(F.lit(1))))
     drawn = mixing.mixed(docs).select(F.col("doc_id").alias("drawn doc"), "copies").where("copies > 0")
     drawn = drawn.withColumn("drawn row", F.row_number().over(W.partitionBy("drawn doc").orderBy("copies")))
-    joined = docs.withColumn("own row", nth).join(drawn, F.col("doc_id").eqNullSafe(F.col("drawn doc")) & (F.col("own row") == F.col("drawn row")))
-    taken = joined.withColumn("nth copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select(*(F.col(f"`{c}`") for c in docs.columns))
+    joined = packed.join(drawn, F.col("doc_id").eqNullSafe(F.col("drawn doc")) & (F.col("own row") == F.col("drawn row")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
