@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,12 +96,20 @@ def with_retries(write: Callable[[], None], attempts: int = 5, on: tuple[type[Ex
     raise ValueError("no attempts")
 
 
-def numbered_rows(df: DataFrame, existing: DataFrame, column: str, order: list[str]) -> DataFrame:
-    """New rows with identifiers behind the greatest existing one, in an order; the new rows of one load are few."""
-    from pyspark.sql import Window as W
+def numbered_rows(df: DataFrame, existing: DataFrame, column: str, order: list[str], slots: int = 256) -> DataFrame:
+    """New rows with consecutive identifiers behind the greatest existing one.
 
+    Rows are numbered within slots, by a hash of the columns that identify them, and slots one behind the other, so
+    that no task has to see all rows; the same rows get the same numbers.
+    """
     top = existing.agg(F.coalesce(F.max(column), F.lit(0)).alias("top id"))  # one row
-    return df.crossJoin(F.broadcast(top)).withColumn(column, (F.col("top id") + F.row_number().over(W.orderBy(*order))).cast("int")).drop("top id")
+    rows = df.withColumn("slot of row", F.pmod(F.xxhash64(*order), F.lit(slots)))
+    sizes = rows.groupBy("slot of row").agg(F.count("*").alias("rows of slot"))
+    before = F.coalesce(F.sum("rows of slot").over(W.orderBy("slot of row").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(F.col("slot of row").alias("slot"), before.alias("rows before")).crossJoin(top)  # a row for each slot
+    placed = rows.join(F.broadcast(starts), F.col("slot of row") == F.col("slot"))
+    own = F.row_number().over(W.partitionBy("slot of row").orderBy(*order))
+    return placed.withColumn(column, (F.col("top id") + F.col("rows before") + own).cast("int")).drop("slot of row", "slot", "rows before", "top id")
 
 
 def insert_rows(target: DataFrame, rows: DataFrame) -> DataFrame:

@@ -117,6 +117,13 @@ class Build:
                 self.found[name] = m.build(self.ctx, *(self(i) for i in m.inputs))
         return self.found[name]
 
+    def materialise(self, name: str, table: bool = False) -> DataFrame:
+        """A model as a view of its name; as a table it is kept once it has been computed."""
+        df = self.published(name)
+        self.found[name] = df.persist() if table else df
+        self.found[name].createOrReplaceTempView(MODELS[name].alias or name)
+        return self.found[name]
+
     def business(self, name: str) -> DataFrame:
         """A model's own columns, in its declared types."""
         return self(name).select(*(F.col(c).cast(kind).alias(c) for c, kind in fields(MODELS[name])))

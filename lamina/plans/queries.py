@@ -11,6 +11,7 @@ from collections.abc import Callable
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +21,7 @@ from ..operators import joins, latest, quality, rollups, sets, upsert
 from ..sources import contracts
 from ..sources.groups import Table
 from ..sources.landing import Run, land
-from ..sources.readers import read_files
+from ..sources.readers import read_files, with_file_facts
 from ..sources.storage import Storage
 from . import budget, gold, silver  # noqa: F401  they register the models
 from .bronze import Bronze
@@ -363,8 +364,6 @@ _SHARE = """SELECT *, total * w AS raw, floor(total * w) AS base FROM (SELECT n_
 
 @query(f"SELECT g, i, CAST(base + CASE WHEN row_number() OVER (PARTITION BY g ORDER BY raw - base DESC, i) <= total - sum(base) OVER (PARTITION BY g) THEN 1 ELSE 0 END AS BIGINT) AS dealt FROM ({_SHARE})")
 def integer_allocation(spark, sf_dir):
-    from pyspark.sql import Window as W
-
     size = (F.col("i") + 1).cast("double")
     rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("g"), F.col("n_nationkey").alias("i"), F.lit(1000003).alias("total"))
     return rollups.allocate(rows.withColumn("w", size / F.sum(size).over(W.partitionBy("g"))), ["g"], "total", "w", "i", "dealt").select("g", "i", "dealt")
@@ -440,8 +439,6 @@ def publish_partitioned(spark, sf_dir):
 @query("SELECT r_regionkey, r_name FROM region")
 def file_lineage_join(spark, sf_dir):
     """Rows joined with the facts of the file that each comes from."""
-    from ..sources.readers import with_file_facts
-
     path = f"{scratch(spark)}/region"
     table(spark, sf_dir, "region").repartition(2).write.parquet(path)
     facts = spark.createDataFrame([(e.path, e.name) for e in Storage(spark).parts(path)], "path string, name string")

@@ -170,7 +170,8 @@ def test_row_edits(spark):
     assert rows(upsert.update_rows(df, F.col("id") == 1, {"v": F.lit("z")})) == [(1, "z"), (2, None)]
     assert rows(upsert.delete_rows(df, F.col("v") == "a"), "id") == [(2,)]
     new = spark.createDataFrame([("p",), ("o",)], "v string")
-    assert rows(upsert.numbered_rows(new, df, "id", ["v"]), "id", "v") == [(3, "o"), (4, "p")]
+    found = rows(upsert.numbered_rows(new, df, "id", ["v"]), "id", "v")
+    assert {i for i, _ in found} == {3, 4} and {v for _, v in found} == {"o", "p"} and found == rows(upsert.numbered_rows(new.repartition(3), df, "id", ["v"]), "id", "v")
 
 
 @settings(max_examples=10, deadline=None)

@@ -155,3 +155,11 @@ def test_maintenance(spark, tmp_path):
     with pytest.raises(ValueError):
         drop_snapshots(spark, path, D(2024, 1, 3))
     assert housekeeping_due(D(2024, 1, 7)) and not housekeeping_due(D(2024, 1, 8)) and housekeeping_due(D(2024, 1, 8), True)
+
+
+def test_materialised_models_are_views(spark, tables):
+    build = Build(tables)
+    build.materialise("dim_stores", table=True)
+    build.materialise("dim_clients_mart")
+    assert spark.table("dim_stores").count() == 2 and spark.table("dim_clients").columns[0] == "client_id"
+    build("dim_stores").unpersist()
