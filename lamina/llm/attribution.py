@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import by_batch, hold, texts
+from .common import at_end, by_batch, texts
 
 RULES = ("start", "end", "majority")
 
@@ -42,6 +42,9 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("counted", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), widths
 
 
+at_end(_encoding.cache_clear)
+
+
 def line_starts(text: str) -> list[int]:
     """Where each line begins; a line ends behind its line feed."""
     return [0, *(i + 1 for i, c in enumerate(text[:-1]) if c == "\n")] if text else []
@@ -55,7 +58,6 @@ def field_spans(fields: list[str], separator: str = "\n") -> tuple[str, list[int
 
 def token_spans(text: str, path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """First and last character of each token."""
-    hold("attribution", _encoding.cache_clear)
     tool, widths = _encoding(path, pattern)
     ends = np.cumsum(widths[np.array(tool.encode_ordinary(text), dtype=np.int64)])
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends

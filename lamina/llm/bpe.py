@@ -23,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import by_batch, hold, texts
+from .common import at_end, by_batch, texts
 
 LONG = 256
 #: Pieces that a worker remembers; it forgets them all beyond that.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 
 _STEPS = """
 WITH RECURSIVE walk(step, w, p, id) AS (
@@ -61,10 +61,10 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)])
-        self.merges = {(a, b): r for t, r in self.ranks.items() for i in range(1, len(t)) if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None}
+        merges = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t)) if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
-        pairs = np.array([*self.merges], dtype=np.int64).reshape(-1, 2)
-        self._table("merges", pair=(pairs[:, 0] << 32) + pairs[:, 1], rank=np.array([*self.merges.values()], dtype=np.int64))
+        pairs = np.array(merges, dtype=np.int64).reshape(-1, 3)
+        self._table("merges", pair=(pairs[:, 0] << 32) + pairs[:, 1], rank=pairs[:, 2].copy())
         # DuckDB concatenates text, not blobs: a byte stands as the character of its number
         self._table("vocabulary", id=np.array([*self.ranks.values()], dtype=np.int64), piece=[t.decode("latin-1") for t in self.ranks])
 
@@ -81,23 +81,23 @@ class Codec:
             self.db.unregister(name)
 
     def _by_heap(self, data: bytes) -> list[int]:
-        ids = self.byte_ids[np.frombuffer(data, np.uint8)].tolist()
-        after, before = [*range(1, len(ids) + 1)], [*range(-1, len(ids) - 1)]
-        pair = lambda i: self.merges.get((ids[i], ids[after[i]])) if after[i] < len(ids) else None
-        heap = [(r, i) for i in range(len(ids)) if (r := pair(i)) is not None]
+        parts: list[bytes | None] = [data[i : i + 1] for i in range(len(data))]
+        after, before = [*range(1, len(parts) + 1)], [*range(-1, len(parts) - 1)]
+        pair = lambda i: self.ranks.get(parts[i] + parts[after[i]]) if after[i] < len(parts) else None
+        heap = [(r, i) for i in range(len(parts)) if (r := pair(i)) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i = heapq.heappop(heap)
-            if ids[i] is None or pair(i) != rank:
+            if parts[i] is None or pair(i) != rank:
                 continue
             gone = after[i]
-            ids[i], ids[gone], after[i] = rank, None, after[gone]
-            if after[i] < len(ids):
+            parts[i], parts[gone], after[i] = parts[i] + parts[gone], None, after[gone]
+            if after[i] < len(parts):
                 before[after[i]] = i
             for j in (before[i], i):
                 if j >= 0 and (r := pair(j)) is not None:
                     heapq.heappush(heap, (r, j))
-        return [x for x in ids if x is not None]
+        return [self.ranks[x] for x in parts if x is not None]
 
     def learn(self, pieces: set[str]) -> None:
         """Contract the pieces that are not known yet."""
@@ -144,6 +144,7 @@ class Codec:
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 
+@at_end
 def _forget() -> None:
     for tool in _CODECS.values():
         tool.db.close()
@@ -151,7 +152,6 @@ def _forget() -> None:
 
 
 def codec(path: str, pattern: str) -> Codec:
-    hold("bpe", _forget)
     if (path, pattern) not in _CODECS:
         _CODECS[path, pattern] = Codec(path, pattern)
     return _CODECS[path, pattern]
@@ -182,11 +182,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
 
     def rows(batch):
         tool, documents = codec(path, pattern), texts(batch, text)
-        for i in range(0, len(documents), 500):
-            encoded = tool.encode(documents[i : i + 500])
+        for i in range(0, len(documents), 250):
+            encoded = tool.encode(documents[i : i + 250])
             decoded = tool.decode(encoded)
             digest = lambda many: [hashlib.sha256(x).hexdigest() for x in many]
-            out = {key: batch.column(key).slice(i, 500), "n_tokens": [len(x) // 4 for x in encoded], "ids_sha256": digest(encoded), "decoded_sha256": digest(decoded)}
+            out = {key: batch.column(key).slice(i, 250), "n_tokens": [len(x) // 4 for x in encoded], "ids_sha256": digest(encoded), "decoded_sha256": digest(decoded)}
             yield out | ({"ids": [np.frombuffer(x, "<i4") for x in encoded]} if with_ids else {})
 
     return by_batch(docs.select(key, text), rows, f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

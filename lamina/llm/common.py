@@ -34,6 +34,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     known = context.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+    # allocators that give memory back: several workers share an executor's memory with its JVM
+    for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "1"), ("MALLOC_TRIM_THRESHOLD_", "1048576")):
+        context.environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
@@ -56,7 +59,7 @@ def by_batch(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterable[dict] | di
     types = pa.schema([(name, _TYPES[kind]) for name, kind in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in task(batches):
             if batch.num_rows:
                 out = rows(batch)
                 for part in [out] if isinstance(out, dict) else out:
@@ -75,7 +78,7 @@ def _split(schema: str) -> list[str]:
     return [x for x in schema.split(",") if x.strip()]
 
 
-_HOLDER: list[tuple[str, Callable[[], None]]] = []
+_FORGETS: list[Callable[[], None]] = []
 
 
 def trim() -> None:
@@ -85,13 +88,20 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def hold(name: str, forget: Callable[[], None]) -> None:
-    """Let one operator at a time remember things in a worker, which runs tasks of many; the one before it forgets."""
-    if _HOLDER and _HOLDER[0][0] != name:
-        _HOLDER.pop()[1]()
+def at_end(forget: Callable[[], None]) -> Callable[[], None]:
+    """Register what makes an operator forget; workers run tasks of many operators, and remember nothing between tasks."""
+    _FORGETS.append(forget)
+    return forget
+
+
+def task(items: Iterator) -> Iterator:
+    """The items of a task; when it ends, whatever way, all that operators remember is dropped."""
+    try:
+        yield from items
+    finally:
+        for forget in _FORGETS:
+            forget()
         trim()
-    if not _HOLDER:
-        _HOLDER.append((name, forget))
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

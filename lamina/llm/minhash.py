@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, hold, prepare, saved
+from .common import at_end, by_batch, prepare, saved, task
 from .graph import components, redealt
 
 UNIVERSE_BITS = 20
@@ -67,11 +67,12 @@ class Words(dict):
 
 
 _WORDS = Words()
+at_end(_WORDS.clear)
+at_end(_permutations.cache_clear)
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles."""
-    hold("minhash", _WORDS.clear)
     words = (text or "").encode().lower().split()
     h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     if not len(h):
@@ -184,7 +185,7 @@ def _verified(cells: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
             found = forest(links(sets, percent))
             return pa.RecordBatch.from_pydict({"a": [ids[i] for i in found], "b": [ids[i] for i in found.values()]}, schema=schema)
 
-        for batch in batches:
+        for batch in task(batches):
             for i, *group, text in zip(*(batch.column(c).to_pylist() for c in ("id", "cell", "i", "j", "text")), strict=True):
                 if group != now:
                     if len(ids) > 1:

@@ -86,7 +86,7 @@ def flight(chance: np.ndarray, size: np.ndarray, rng: np.random.Generator, land:
 def _level(rows: DataFrame, level: int, land: bool) -> DataFrame:
     """One flight in every block of every source."""
 
-    def fly(key, group: pd.DataFrame) -> pd.DataFrame:
+    def fly(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["size", "order", "doc_id"], ascending=[False, True, True], ignore_index=True)
         rng = np.random.default_rng([level, int(key[0]), int(key[1])])
         return group.assign(chance=flight(group.chance.to_numpy(), group["size"].to_numpy(), rng, land))

@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hold, prepare
+from .common import prepare, task
 
 DIM, NONZERO, WINDOW = 96, 6, 2
 FREQUENT, HIDDEN, EPOCHS = 5000, 32, 300
@@ -56,8 +56,8 @@ def _index(name: str) -> np.ndarray:
     return out
 
 
-#: Tokens whose rows a worker remembers.
-REMEMBERED = 250_000
+#: Tokens whose rows a task remembers.
+REMEMBERED = 400_000
 
 
 class Rows(dict):
@@ -187,21 +187,15 @@ def probabilities(model: Model, many: list[str], rows: Rows | None = None) -> np
     return 1 / (1 + np.exp(-np.clip(_forward(x, model.layers)[1] / model.temperature + model.prior, -30, 30)))
 
 
-_KNOWN: dict[int, Rows] = {}
-
-
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     """A function from a text column to the column of its scores."""
-    number = zlib.crc32(model.vectors.tobytes())
     shared = prepare(spark).sparkContext.broadcast(model)  # its rows are bounded by FREQUENT
 
     @F.pandas_udf("double")
-    def score(many: pd.Series) -> pd.Series:
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
-        hold("quality", _KNOWN.clear)
-        if number not in _KNOWN:
-            _KNOWN.clear()
-            _KNOWN[number] = Rows(model.rows)
-        return pd.Series(probabilities(model, [x or "" for x in many], _KNOWN[number]))
+        rows = Rows(model.rows)
+        for many in task(parts):
+            yield pd.Series(probabilities(model, [x or "" for x in many], rows))
 
     return score

@@ -17,6 +17,7 @@ columns of the input are handed on.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, prepare
+from .common import by_batch, prepare, task
 from .graph import redealt
 
 LEAST_WORDS = 10
@@ -115,12 +116,13 @@ def drop_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, key: str = "do
     marks = repeats.groupBy(F.col("doc_id").alias("marked doc")).agg(F.collect_set("place").alias("marked places"))
 
     @F.pandas_udf("text string, n_units long, n_removed long, removed_starts array<long>, removed_ends array<long>")
-    def clean(many: pd.Series, marked: pd.Series) -> pd.DataFrame:
-        out = []
-        for x, places in zip(many, marked, strict=True):
-            left, gone, n, removed = without(x, set() if places is None else set(places.tolist()), least_words) if x is not None else (None, [], 0, 0)
-            out.append((left, n, removed, [a for a, _ in gone], [b for _, b in gone]))
-        return pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_starts", "removed_ends"])
+    def clean(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for many, marked in task(parts):
+            out = []
+            for x, places in zip(many, marked, strict=True):
+                left, gone, n, removed = without(x, set() if places is None else set(places.tolist()), least_words) if x is not None else (None, [], 0, 0)
+                out.append((left, n, removed, [a for a, _ in gone], [b for _, b in gone]))
+            yield pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_starts", "removed_ends"])
 
     # other columns travel in one, so that their names, whatever they are, meet none of those used here
     facts = ("n_units", "n_removed", "removed_starts", "removed_ends")

@@ -25,7 +25,7 @@ import string
 import unicodedata
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hold, prepare, trim
+from .common import prepare, task, trim
 
 SPAN, DECAY = 5, 0.7
 LANDMARKS, NEGATIVES = 64, 12_000
@@ -279,33 +279,27 @@ def margins(model: Model, words: list[str]) -> np.ndarray:
     return np.concatenate(parts) + model.bias if parts else np.zeros(0)
 
 
-#: Margins of tokens that a worker has met, for the model of that number; forgotten beyond the bound.
-_KNOWN: dict[int, dict[str, float]] = {}
-REMEMBERED = 250_000
+#: Tokens whose margins a task remembers; forgotten beyond the bound.
+REMEMBERED = 400_000
 
 
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     """A function from a text column to the column of its scores."""
-    number = zlib.crc32(model.table.tobytes()) ^ hash(model.bias)
     shared = prepare(spark).sparkContext.broadcast(model)  # a megabyte, whatever the data
 
     @F.pandas_udf("double")
-    def score(many: pd.Series) -> pd.Series:
-        model = shared.value
-        hold("toxicity", _KNOWN.clear)
-        if number not in _KNOWN:
-            _KNOWN.clear()
-        known = _KNOWN.setdefault(number, {})
-        if len(known) > REMEMBERED:
-            known.clear()
-        found = [tokens(x or "") for x in many]
-        if model.constant is None:
-            new = {t for own in found for t in own if t not in known}
-            folded = {t: fold(t) for t in new}
-            words = sorted({w for w in folded.values() if w})
-            margin = dict(zip(words, margins(model, words).tolist(), strict=True))
-            known.update((t, margin.get(w, _BELOW)) for t, w in folded.items())
-        greatest = np.array([max((known.get(t, _BELOW) for t in own), default=_BELOW) for own in found])
-        return pd.Series(model.probability(greatest))
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model, known = shared.value, {}
+        for many in task(parts):
+            if len(known) > REMEMBERED:
+                known.clear()
+            found = [tokens(x or "") for x in many]
+            if model.constant is None:
+                folded = {t: fold(t) for own in found for t in own if t not in known}
+                words = sorted({w for w in folded.values() if w})
+                margin = dict(zip(words, margins(model, words).tolist(), strict=True))
+                known.update((t, margin.get(w, _BELOW)) for t, w in folded.items())
+            greatest = np.array([max((known.get(t, _BELOW) for t in own), default=_BELOW) for own in found])
+            yield pd.Series(model.probability(greatest))
 
     return score

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, prepare, saved
+from .common import at_end, by_batch, prepare, saved, task
 from .graph import components, redealt
 
 WIDTH = 2.0
@@ -59,6 +59,9 @@ def _projections(dim: int, k: int, tables: int) -> tuple[np.ndarray, np.ndarray]
     return np.rint(rng.standard_normal((dim, k * tables)) * 2**10), np.rint(rng.random(k * tables) * WIDTH * 2**25)
 
 
+at_end(_projections.cache_clear)
+
+
 def buckets(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
     """The bucket key of each vector in each table."""
     project, shift = _projections(unit.shape[1], k, tables)
@@ -126,7 +129,7 @@ def linked(vectors: DataFrame, cosine: float = 0.95, recall: float = RECALL, key
             ids, counts, hubs = _group(now, held, k, tables, cosine) if len(held) > 1 else ([], [], [])
             return pa.RecordBatch.from_pydict({"vec_id": ids, "links": counts, "hub": hubs}, schema=schema)
 
-        for batch in batches:
+        for batch in task(batches):
             columns = [batch.column(c).to_pylist() for c in ("slot", "bucket", "i", "j", "vec_id", "own", "weight", "embedding")]
             for slot, bucket, i, j, *row in zip(*columns, strict=True):
                 if now != (slot, bucket, i, j):

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, task
 from .graph import redealt
 
 CHUNK = 64 << 10
@@ -127,8 +127,8 @@ def records(pages: DataFrame, least_bytes: int = 0, key: str = "page_id", url: s
 
     def write(batches):
         # pages may share an identifier; with the number of its task and its own in it, a record has a name of its own
-        task, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        partition, number = TaskContext.get().partitionId(), 0
+        for batch in task(batches):
             # payloads are views of the batch's buffer, not copies of it
             column = batch.column("payload")
             if isinstance(column, pa.ChunkedArray):
@@ -138,7 +138,7 @@ def records(pages: DataFrame, least_bytes: int = 0, key: str = "page_id", url: s
             out, held = [], 0
             for i, (page_id, address, first) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "first")), strict=True)):
                 body = data[offsets[i] : offsets[i + 1]] if column[i].is_valid else data[:0]
-                record, number = f"{page_id}-{task}-{number}", number + 1
+                record, number = f"{page_id}-{partition}-{number}", number + 1
                 for n, whole, piece, so_far in chunks(page_id, address or "", body, first):
                     out.append((record, n, whole, piece, so_far))
                     held += len(piece)
@@ -163,7 +163,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     def parse(batches):
         now, reader, place = None, None, 0
-        for batch in batches:
+        for batch in task(batches):
             out = []
             for record, n, data, digest in zip(*(batch.column(c) for c in ("record", "chunk", "data", "digest")), strict=True):
                 if n.as_py() == 0 or record.as_py() != now:
