@@ -57,7 +57,7 @@ def _index(name: str) -> np.ndarray:
 
 
 #: Tokens whose rows a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class Rows(dict):
@@ -115,6 +115,7 @@ def _word_vectors(many: list[str]) -> tuple[dict[str, int], np.ndarray]:
         shapes.update(shape(w) for w in found)
     common = [w for w, n in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT] if n > 4]
     forms = [w for w, n in sorted(shapes.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT] if n > 2]
+    words.clear()
     names = ["\0?", "\0=?", *common, *forms, *("\0=" + f for f in forms)]
     rows = {n: i for i, n in enumerate(dict.fromkeys(names))}
     index = np.stack([_index(n) for n in rows])

@@ -178,7 +178,7 @@ def _marks(found: list[set[str]], seen: dict[int, Counter], n: dict[int, int]) -
     Taking the latter in turn leaves out words that only stand beside marks.
     """
     odds = lambda b: np.log((seen[1][b] + 0.5) / (n[1] + 1)) - np.log((seen[0][b] + 0.5) / (n[0] + 1))
-    rare = {b for own in found for b in own if seen[1][b] >= 3 and odds(b) > np.log(8)}
+    rare = {b for own in found for b in own if odds(b) > np.log(8)}
     out = {b for b in rare if seen[1][b] >= max(5, 0.02 * n[1])}
     open_ = [own & rare for own in found if own.isdisjoint(out)]
     while True:
@@ -198,17 +198,21 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
     folded: dict[str, str] = {}
     word_of = lambda token: folded[token] if token in folded else folded.setdefault(token, fold(token))
     words = [{w for t in tokens(text) if (w := word_of(t))} for text, _ in rows]
+    sentences = [{w for t in tokens(x) if (w := word_of(t))} for text, y in rows if y for x in _SENTENCE.split(text)]
+    folded.clear()
     single = _distinct(words)
     many = Counter(rows[i][1] for i in single)
     beginnings = lambda w: {w, *(w[:k] for k in (4, 5, 6) if len(w) > k)}
-    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    toxic = [i for i in single if rows[i][1]]
+    seen = {1: Counter(b for i in toxic for b in {b for w in words[i] for b in beginnings(w)}), 0: Counter()}
+    seen[1] = Counter({b: k for b, k in seen[1].items() if k >= 3})
     for i in single:
-        seen[rows[i][1]].update({b for w in words[i] for b in beginnings(w)})
+        if not rows[i][1]:
+            seen[0].update({b for w in words[i] for b in beginnings(w) if b in seen[1]})
 
     clean = Counter(w for own, (_, y) in zip(words, rows, strict=True) if not y for w in own)
-    marks = _marks([{b for w in words[i] if w not in clean for b in beginnings(w)} for i in single if rows[i][1]], seen, many)
+    marks = _marks([{b for w in words[i] if w not in clean for b in beginnings(w) if b in seen[1]} for i in toxic], seen, many)
     suspect = {w for own, (_, y) in zip(words, rows, strict=True) if y for w in own if w not in clean and not marks.isdisjoint(beginnings(w))}
-    sentences = [{w for t in tokens(x) if (w := word_of(t))} for text, y in rows if y for x in _SENTENCE.split(text)]
     bags = [hit for own in sentences if (hit := own & suspect)]
     if not bags:
         return Model(np.zeros(1, np.float32), 0.0, 1.0, 0.0, min(share, 0.5))
@@ -238,14 +242,14 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
         weight[y > 0] /= weight[y > 0].sum()
         weight[y < 0] /= weight[y < 0].sum()
         w = _svm(z, y, weight)
-        model = Model((np.stack(tables).T @ (root @ w[:-1])).astype(np.float32), float(w[-1]), 1.0, 0.0)
+        model = Model(sum(np.float32(c) * t for c, t in zip(root @ w[:-1], tables, strict=True)), float(w[-1]), 1.0, 0.0)
         score = dict(zip(every := sorted({x for own in words for x in own}), margins(model, every).tolist(), strict=True))
         alarms = sorted((x for x in clean if score[x] > -0.7), key=lambda x: (-score[x], x))[:4000]
         negatives = [*dict.fromkeys([*negatives, *alarms])]
         chosen = Counter(max(hit, key=lambda x: (score[x], x)) for hit in bags)
     margin = np.array([max((score[x] for x in own), default=_BELOW) for own in words])
     _calibrate(model, margin, np.array([y for _, y in rows]))
-    del folded, words, seen, sentences, score, tables
+    del words, seen, sentences, score, tables
     trim()
     return model
 
