@@ -5,7 +5,9 @@ in the middle of lines; a sentence of more than ``LONG`` words is cut further be
 names, so that an edit in text without punctuation spoils one part of it only. A unit is normalised (lower case, white space as single blanks) and hashed to 128 bits.
 Digests are grouped over all documents; the occurrence of least rank (doc_id, offset) stays, all others are
 repeats. Consecutive repeats form a run; runs of at least ``least_words`` words are removed with the white space
-behind them, shorter ones are left alone, as chance repeats short sentences in unrelated texts.
+behind them, shorter ones are left alone, as chance repeats short sentences in unrelated texts; for the same reason
+sentences of fewer than ``SHORT`` words don't count towards that number, and a line of such sentences alone is cut by
+content like a long sentence.
 
 The result keeps the offsets, in characters of the original text, of the parts that were removed.
 
@@ -30,9 +32,9 @@ from .common import by_batch, prepare, task
 from .graph import redealt
 
 LEAST_WORDS = 10
-LONG = 40
+LONG, SHORT = 40, 4
 _SPACE = re.compile(r"\s+")
-_GAP = re.compile(r"\s*\n\s*|(?<=[.!?])\s+")
+_LINE, _SENTENCE = re.compile(r"\s*\n\s*"), re.compile(r"(?<=[.!?])\s+")
 
 
 def _parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
@@ -51,11 +53,19 @@ def _parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
 def cut(text: str) -> list[tuple[int, int]]:
     """(start, end) of each unit that is not empty, in order."""
     out, at = [], 0
-    for gap in _GAP.finditer(text):
-        if gap.start() > at:
-            out += _parts(text, at, gap.start())
-        at = gap.end()
-    return out + _parts(text, at, len(text)) if len(text) > at else out
+    for line in (*_LINE.finditer(text), None):
+        end = line.start() if line else len(text)
+        if end > at:
+            gaps = [(g.start(), g.end()) for g in _SENTENCE.finditer(text, at, end)]
+            gaps = [g for g in gaps if g[1] < end]
+            # marks behind nearly every word end no sentences: such a line is cut as one long sentence
+            if gaps and text.count(" ", at, end) + 1 < SHORT * (len(gaps) + 1):
+                gaps = []
+            for start, stop in zip((at, *(g[1] for g in gaps)), (*(g[0] for g in gaps), end), strict=True):
+                if stop > start:
+                    out += _parts(text, start, stop)
+        at = line.end() if line else at
+    return out
 
 
 def digests(text: str, spans: list[tuple[int, int]]) -> tuple[list[bytes], list[int]]:
@@ -96,7 +106,7 @@ def without(text: str, repeats: set[int], least_words: int) -> tuple[str, list[t
         end = at
         while end < len(spans) and flags[end]:
             end += 1
-        if end > at and sum(words[at:end]) >= least_words:
+        if end > at and sum(n for n in words[at:end] if n >= SHORT) >= least_words:
             gone.append((spans[at][0], spans[end][0] if end < len(spans) else len(text)))
             removed += end - at
         at = max(end, at + 1)
