@@ -181,9 +181,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
     """(key, n_tokens, ids_sha256, decoded_sha256): digests of the token ids and of what they decode to; ids on demand."""
 
     def rows(batch):
-        tool, documents = codec(path, pattern), texts(batch, text)
-        for i in range(0, len(documents), 250):
-            encoded = tool.encode(documents[i : i + 250])
+        # all new pieces of a batch in one query; decoded a few texts at a time, as that takes rows for every token
+        tool = codec(path, pattern)
+        whole = tool.encode(texts(batch, text))
+        for i in range(0, len(whole), 250):
+            encoded = whole[i : i + 250]
             decoded = tool.decode(encoded)
             digest = lambda many: [hashlib.sha256(x).hexdigest() for x in many]
             out = {key: batch.column(key).slice(i, 250), "n_tokens": [len(x) // 4 for x in encoded], "ids_sha256": digest(encoded), "decoded_sha256": digest(decoded)}
