@@ -51,15 +51,16 @@ def dim_costing_mart(ctx: Context, fact_order_product: DataFrame, dim_costing: D
 
 
 @model("gold", "order_id int, tariff decimal(10,2)", ["helper", "publish"], alias="dim_delivery_cost")
-def dim_delivery_cost_mart(ctx: Context, fact_delivery_tracking: DataFrame, dim_delivery_resource: DataFrame, dim_zones: DataFrame, dim_delivery_costing: DataFrame) -> DataFrame:
+def dim_delivery_cost_mart(ctx: Context, stg_delivery_tracking: DataFrame, dim_delivery_resource: DataFrame, dim_zones: DataFrame, dim_delivery_costing: DataFrame) -> DataFrame:
     """The dearest tariff that the courier has in any zone of the courier's store.
 
-    Tariffs are rolled up to couriers first: the deliveries, which are many, meet one row each.
+    Tariffs are rolled up to couriers first: the deliveries, which are many, meet one row each, and are read without
+    what the fact adds to them.
     """
     couriers = lookup(dim_delivery_resource.select("delivery_resource_id", "store_id", "delivery_type_id"), dim_zones, {"store_id": "store_id"}, ["zone_id"])
     priced = lookup(couriers, dim_delivery_costing, {"zone_id": "zone_id", "delivery_type_id": "delivery_type_id"}, ["tariff"])
     dearest = priced.groupBy("delivery_resource_id").agg(F.max("tariff").alias("tariff"))
-    brought = fact_delivery_tracking.where(F.col("delivery_status_id") == BROUGHT)
+    brought = stg_delivery_tracking.where(F.col("delivery_status_id") == BROUGHT)
     return lookup(brought, dearest, {"courier_id": "delivery_resource_id"}, ["tariff"]).groupBy("order_id").agg(F.max("tariff").alias("tariff"))
 
 
@@ -83,11 +84,11 @@ MARGIN = "order_id int, order_date date, client_id int, store_id smallint, total
 
 
 @model("gold", MARGIN, ["fact", "publish"], "order_date", "fct_order_margin")
-def fct_order_margin_mart(ctx: Context, fct_orders_sales_mart: DataFrame, fact_orders: DataFrame, dim_costing_mart: DataFrame, dim_delivery_cost_mart: DataFrame) -> DataFrame:
+def fct_order_margin_mart(ctx: Context, fct_orders_sales_mart: DataFrame, dim_costing_mart: DataFrame, dim_delivery_cost_mart: DataFrame) -> DataFrame:
     cost = dim_costing_mart.groupBy("order_id").agg(F.sum("total_cost").alias("product_cost"))
     delivery = dim_delivery_cost_mart.groupBy("order_id").agg(F.sum("tariff").alias("delivery_cost"))
-    rows = lookup(fct_orders_sales_mart.drop("store_id"), fact_orders, {"order_id": "order_id"}, ["store_id"])
-    rows = lookup(lookup(rows, cost, {"order_id": "order_id"}, ["product_cost"]), delivery, {"order_id": "order_id"}, ["delivery_cost"])
+    # sales are rows of fact_orders, so its store is theirs
+    rows = lookup(lookup(fct_orders_sales_mart, cost, {"order_id": "order_id"}, ["product_cost"]), delivery, {"order_id": "order_id"}, ["delivery_cost"])
     profit = F.col("total_amount") - or_zero("product_cost") - or_zero("delivery_cost")
     return rows.withColumns({
         "product_cost_amount": money(or_zero("product_cost")), "delivery_cost_amount": money(or_zero("delivery_cost")),

@@ -240,6 +240,7 @@ def fact_orders(ctx: Context, stg_orders: DataFrame, dim_clients: DataFrame, dim
     })
 
 
+# Columns of an order that it has in staging: other facts take them there, without the joins and rollups of fact_orders.
 OF_ORDER = {"order_date": "order_date", "client_id": "client_id", "store_id": "store_id"}
 
 
@@ -249,10 +250,10 @@ OF_ORDER = {"order_date": "order_date", "client_id": "client_id", "store_id": "s
     partition="order_date",
     keys=["fact_order_product_key"],
 )
-def fact_order_product(ctx: Context, stg_order_product: DataFrame, fact_orders: DataFrame, dim_products: DataFrame) -> DataFrame:
+def fact_order_product(ctx: Context, stg_order_product: DataFrame, stg_orders: DataFrame, dim_products: DataFrame) -> DataFrame:
     """The key holds the line's date, the date column that of the order."""
     rows = stg_order_product.withColumn("fact_order_product_key", surrogate_key("order_id", "product_id", "order_date")).drop("order_date")
-    rows = lookup(rows, fact_orders, {"order_id": "order_id"}, OF_ORDER)
+    rows = lookup(rows, stg_orders, {"order_id": "order_id"}, OF_ORDER)
     rows = lookup(rows, dim_products, {"product_id": "product_id"}, ["product_name", "category_id", "category_name"])
     return rows.withColumn("line_sales_amount", money(F.col("quantity") * F.col("sales_price"), 14, 4))
 
@@ -263,8 +264,10 @@ def fact_order_product(ctx: Context, stg_order_product: DataFrame, fact_orders:
     partition="payment_date",
     keys=["fact_payments_key"],
 )
-def fact_payments(ctx: Context, stg_payments: DataFrame, fact_orders: DataFrame) -> DataFrame:
-    rows = lookup(stg_payments, fact_orders, {"order_id": "order_id"}, OF_ORDER | {"latest_order_status": "latest_order_status"})
+def fact_payments(ctx: Context, stg_payments: DataFrame, stg_orders: DataFrame, int_orders_latest_status: DataFrame) -> DataFrame:
+    """An order's status counts only if the order is known."""
+    rows = lookup(stg_payments, stg_orders, {"order_id": "order_id"}, OF_ORDER | {"order_id": "known order"})
+    rows = lookup(rows, int_orders_latest_status, {"known order": "order_id"}, ["latest_order_status"])
     return rows.withColumn("fact_payments_key", surrogate_key("order_id", "payment_date", F.coalesce("payment_status", F.lit("unknown"))))
 
 
@@ -275,8 +278,8 @@ def fact_payments(ctx: Context, stg_payments: DataFrame, fact_orders: DataFrame)
     "status_datetime",
     keys=["fact_order_status_history_key"],
 )
-def fact_order_status_history(ctx: Context, stg_order_status_history: DataFrame, fact_orders: DataFrame, dim_order_statuses: DataFrame) -> DataFrame:
-    rows = lookup(stg_order_status_history, fact_orders, {"order_id": "order_id"}, OF_ORDER)
+def fact_order_status_history(ctx: Context, stg_order_status_history: DataFrame, stg_orders: DataFrame, dim_order_statuses: DataFrame) -> DataFrame:
+    rows = lookup(stg_order_status_history, stg_orders, {"order_id": "order_id"}, OF_ORDER)
     rows = lookup(rows, dim_order_statuses, {"order_status_id": "order_status_id"}, ["order_status"])
     return rows.withColumn("fact_order_status_history_key", surrogate_key("order_id", "status_datetime"))
 
@@ -288,7 +291,7 @@ def fact_order_status_history(ctx: Context, stg_order_status_history: DataFrame,
     "status_datetime",
     keys=["fact_delivery_tracking_key"],
 )
-def fact_delivery_tracking(ctx: Context, stg_delivery_tracking: DataFrame, fact_orders: DataFrame, dim_delivery_resource: DataFrame) -> DataFrame:
-    rows = lookup(stg_delivery_tracking, fact_orders, {"order_id": "order_id"}, OF_ORDER)
+def fact_delivery_tracking(ctx: Context, stg_delivery_tracking: DataFrame, stg_orders: DataFrame, dim_delivery_resource: DataFrame) -> DataFrame:
+    rows = lookup(stg_delivery_tracking, stg_orders, {"order_id": "order_id"}, OF_ORDER)
     rows = lookup(rows, dim_delivery_resource, {"courier_id": "delivery_resource_id"}, ["delivery_resource_name", "courier_type"])
     return rows.withColumn("fact_delivery_tracking_key", surrogate_key("order_id", "status_datetime"))
