@@ -7,7 +7,8 @@ Digests are grouped over all documents; the occurrence of least rank (doc_id, of
 repeats. Consecutive repeats form a run; runs of at least ``least_words`` words are removed with the white space
 behind them, shorter ones are left alone, as chance repeats short sentences in unrelated texts; for the same reason
 sentences of fewer than ``SHORT`` words don't count towards that number, and a line of such sentences alone is cut by
-content like a long sentence.
+content like a long sentence. A whole line that repeats goes whatever its length: lines whose units would not add up
+to ``least_words`` words have digests of their own, numbered behind the units.
 
 The result keeps the offsets, in characters of the original text, of the parts that were removed.
 
@@ -68,20 +69,36 @@ def cut(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def digests(text: str, spans: list[tuple[int, int]]) -> tuple[list[bytes], list[int]]:
-    """The digest and the number of words of each unit."""
+def short_lines(text: str, spans: list[tuple[int, int]], words: list[int], least_words: int) -> list[tuple[int, int]]:
+    """(first unit, unit behind the last) of each line that the word minimum would keep."""
+    out, at = [], 0
+    for place in range(1, len(spans) + 1):
+        if place == len(spans) or text.find("\n", spans[place - 1][1], spans[place][0]) >= 0:
+            if sum(n for n in words[at:place] if n >= SHORT) < least_words:
+                out.append((at, place))
+            at = place
+    return out
+
+
+def digests(text: str, spans: list[tuple[int, int]], least_words: int = LEAST_WORDS) -> tuple[list[bytes], list[int]]:
+    """The digest and the number of words of each unit; behind the units, the digests of short lines."""
     words = [text[a:b].lower().split() for a, b in spans]
-    return [xxhash.xxh3_128_digest(" ".join(w).encode()) for w in words], [len(w) for w in words]
+    counts = [len(w) for w in words]
+    found = [xxhash.xxh3_128_digest(" ".join(w).encode()) for w in words]
+    for a, b in short_lines(text, spans, counts, least_words):
+        line = text[spans[a][0] : spans[b - 1][1]].lower().split()
+        found.append(xxhash.xxh3_128_digest(("\n" + " ".join(line)).encode()))
+    return found, counts
 
 
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, place, hi, lo): the first occurrence of each unit of a document; place numbers its units."""
+def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, place, hi, lo): the first occurrence of each unit and short line of a document; place numbers them."""
 
     def rows(batch):
         ids, places, found = [], [], []
         for i, x in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist(), strict=True):
             first: dict[bytes, int] = {}
-            for place, digest in enumerate(digests(x, cut(x))[0] if x else ()):
+            for place, digest in enumerate(digests(x, cut(x), least_words)[0] if x else ()):
                 first.setdefault(digest, place)
             ids += [i] * len(first)
             places += first.values()
@@ -93,34 +110,44 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def without(text: str, repeats: set[int], least_words: int) -> tuple[str, list[tuple[int, int]], int, int]:
-    """The text without long runs of repeats, the spans removed, the number of units, and of those removed."""
+    """The text without repeated lines and long runs of repeats, the spans removed, the number of units, and of those removed."""
     spans = cut(text)
-    found, words = digests(text, spans)
+    found, words = digests(text, spans, least_words)
     seen: set[bytes] = set()
     flags = []
     for place, digest in enumerate(found):
         flags.append(place in repeats or digest in seen)
         seen.add(digest)
-    gone, removed, at = [], 0, 0
+    goes, at = [False] * len(spans), 0
     while at < len(spans):
         end = at
         while end < len(spans) and flags[end]:
             end += 1
         if end > at and sum(n for n in words[at:end] if n >= SHORT) >= least_words:
+            goes[at:end] = [True] * (end - at)
+        at = max(end, at + 1)
+    if any(flags[len(spans) :]):
+        for (a, b), flag in zip(short_lines(text, spans, words, least_words), flags[len(spans) :], strict=True):
+            if flag:
+                goes[a:b] = [True] * (b - a)
+    gone, kept, last, at = [], [], 0, 0
+    while at < len(spans):
+        end = at
+        while end < len(spans) and goes[end]:
+            end += 1
+        if end > at:
             gone.append((spans[at][0], spans[end][0] if end < len(spans) else len(text)))
-            removed += end - at
         at = max(end, at + 1)
-    kept, last = [], 0
     for a, b in gone:
         kept.append(text[last:a])
         last = b
-    return "".join(kept) + text[last:], gone, len(spans), removed
+    return "".join(kept) + text[last:], gone, len(spans), sum(goes)
 
 
 def drop_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the text left over, and n_units, n_removed, removed_starts, removed_ends in place of such columns."""
     prepare(docs.sparkSession)
-    found = units(docs, key, text)
+    found = units(docs, key, text, least_words)
     firsts = found.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("many")).where("many > 1").select("hi", "lo", "first")
     repeats = found.join(redealt(firsts, "hi", "lo"), ["hi", "lo"]).where("doc_id <> first")
     marks = repeats.groupBy(F.col("doc_id").alias("marked doc")).agg(F.collect_set("place").alias("marked places"))

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -231,6 +232,25 @@ def test_long_sentences_are_cut_by_content():
     assert len(digests(a) - digests(b)) == 1 and len(digests(a)) > 5
 
 
+def test_short_lines_that_repeat_go(spark):
+    rng = random.Random(8)
+    pool = ["Les.", "Licensed under the Apache License, version 2.0.", "Tion was. Es heon thou the.", "a b c. d. e", "one two three four five six seven eight nine"]
+    rows = [(i, "\n".join(f"own{i}x{j}" if rng.random() < 0.4 else rng.choice(pool).replace(" ", " " * rng.randrange(1, 3)) for j in range(8))) for i in range(30)]
+    met, expected = set(), {}
+    for i, t in rows:  # lines alone, without any of the operator's own functions
+        left = []
+        for line in t.split("\n"):
+            name = " ".join(line.lower().split())
+            left += [] if name in met else [line]
+            met.add(name)
+        expected[i] = "\n".join(left)
+    out = {r.doc_id: r.text for r in substrings.drop_repeats(frame(spark, rows)).collect()}
+    assert {i: t.rstrip("\n") for i, t in out.items()} == expected
+    # a sentence of few words inside other lines stays
+    out = substrings.drop_repeats(frame(spark, [(1, "Les."), (2, "Les. Other words"), (3, "And more. Les.")])).collect()
+    assert {r.doc_id: r.text for r in out} == {1: "Les.", 2: "Les. Other words", 3: "And more. Les."}
+
+
 # media -------------------------------------------------------------------------------------------------------------
 
 
