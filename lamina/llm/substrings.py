@@ -1,8 +1,9 @@
 """Removal of repeated lines and sentences by hashing units of the text.
 
 A text is cut into units: lines, and within a line sentences, as passages that many documents share also stand
-in the middle of lines; a sentence of more than ``LONG`` words is cut further behind words that their hash
-names, so that an edit in text without punctuation spoils one part of it only. A unit is normalised (lower case, white space as single blanks) and hashed to 128 bits.
+in the middle of lines; a sentence of more than ``LONG`` words is cut further behind words whose hash is the least
+of ``REACH`` on either side, so that a passage spliced into it, and an edit of it, spoil the parts at their ends only.
+Where there are no blanks, characters stand for words, two for one. A unit is normalised (lower case, white space as single blanks) and hashed to 128 bits.
 Digests are grouped over all documents; the occurrence of least rank (doc_id, offset) stays, all others are
 repeats. Consecutive repeats form a run; runs of at least ``least_words`` words are removed with the white space
 behind them, shorter ones are left alone, as chance repeats short sentences in unrelated texts; for the same reason
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,26 +31,68 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, prepare, task
+from .common import at_end, by_batch, prepare, task
 from .graph import redealt
 
 LEAST_WORDS = 10
-LONG, SHORT = 40, 4
+LONG, SHORT = 12, 4
+#: A word that ends a part has the least hash of so many on either side; parts without such a word end at MOST words.
+REACH, MOST = 3, 24
+#: A longer token, and text in scripts without blanks, is cut by characters; so many of them count as a word.
+WIDE, LETTERS = 64, 2
 _SPACE = re.compile(r"\s+")
-_LINE, _SENTENCE = re.compile(r"\s*\n\s*"), re.compile(r"(?<=[.!?])\s+")
+_LINE, _SENTENCE = re.compile(r"\s*\n\s*"), re.compile(r"(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f\uff61])\s*")
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+@lru_cache(200_000)
+def _order(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.lower()) >> 1
+
+
+at_end(_order.cache_clear)
+
+
+def _weight(text: str, words: list[str]) -> int:
+    """The number of words, with characters counted where there are no blanks."""
+    if (text.isascii() or not _DENSE.search(text)) and max(map(len, words), default=0) <= WIDE:
+        return len(words)
+    return sum(max(1, len(w) // LETTERS) if len(w) > WIDE or _DENSE.search(w) else 1 for w in words)
+
+
+def _ends(order: list[int]) -> list[int]:
+    """Places behind which a part ends: those of least values among their neighbours, found alike in any copy."""
+    out, last, n = [], -1, len(order) - 1
+    for i in range(n):
+        x = order[i]
+        if i - last >= MOST:
+            out.append(i)
+            last = i
+        elif i >= REACH and i < n - REACH and x < order[i - 1] and x <= order[i + 1] and x < order[i - 2] and x <= order[i + 2] and x < order[i - 3] and x <= order[i + 3]:
+            out.append(i)
+            last = i
+    return out
 
 
 def _parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """A sentence, or the parts of a long one: a part ends behind one word in twelve, chosen by its hash."""
-    if end - start < 2 * LONG or len(text[start:end].split()) <= LONG:
+    """A sentence, or the parts of a long one, which end behind words, or characters, that the text around them names."""
+    if end - start < 2 * LONG and (text.isascii() or not _DENSE.search(text, start, end)):
+        return [(start, end)]
+    words = (own := text[start:end]).split()
+    if (weight := _weight(own, words)) <= LONG:
         return [(start, end)]
-    out, word = [], start
-    for gap in _SPACE.finditer(text, start, end):
-        if xxhash.xxh3_64_intdigest(text[word : gap.start()].lower()) % 12 == 0:
-            out.append((start, gap.start()))
-            start = gap.end()
-        word = gap.end()
-    return [*out, (start, end)] if end > start else out
+    if weight > len(words):  # by characters
+        places = [i for i in range(start, end) if not text[i].isspace()]
+        order = [_order(text[i : i + 3]) for i in places]
+        stops = [(places[i] + 1, places[i + 1]) for i in _ends(order)]
+    else:
+        stops, at, i = [], start, -1
+        for j in _ends([*map(_order, words)]):
+            while i < j:
+                i += 1
+                at = text.index(words[i], at) + len(words[i])
+            stops.append((at, text.index(words[j + 1], at)))
+    return [*zip((start, *(b for _, b in stops)), (*(a for a, _ in stops), end), strict=True)]
 
 
 def cut(text: str) -> list[tuple[int, int]]:
@@ -82,8 +126,9 @@ def short_lines(text: str, spans: list[tuple[int, int]], words: list[int], least
 
 def digests(text: str, spans: list[tuple[int, int]], least_words: int = LEAST_WORDS) -> tuple[list[bytes], list[int]]:
     """The digest and the number of words of each unit; behind the units, the digests of short lines."""
-    words = [text[a:b].lower().split() for a, b in spans]
-    counts = [len(w) for w in words]
+    own = [text[a:b].lower() for a, b in spans]
+    words = [x.split() for x in own]
+    counts = [_weight(x, w) for x, w in zip(own, words, strict=True)]
     found = [xxhash.xxh3_128_digest(" ".join(w).encode()) for w in words]
     for a, b in short_lines(text, spans, counts, least_words):
         line = text[spans[a][0] : spans[b - 1][1]].lower().split()

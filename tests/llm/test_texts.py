@@ -251,6 +251,25 @@ def test_short_lines_that_repeat_go(spark):
     assert {r.doc_id: r.text for r in out} == {1: "Les.", 2: "Les. Other words", 3: "And more. Les."}
 
 
+@pytest.mark.parametrize("size", [30, 40, 100_000])
+def test_spliced_passages_and_text_without_blanks_go(spark, size):
+    rng = random.Random(size)
+
+    def running(n, at):  # sentences of a size, from any word of the first
+        return " ".join("".join(rng.choices("abcdefgh", k=7)) + ("." if (at + k) % size == size - 1 else "") for k in range(n))
+
+    shared = [running(51, rng.randrange(size)) for _ in range(40)]
+    rows = [(2 * k + j, f"{running(20, 0)} {x} {running(20, 0)}") for k, x in enumerate(shared) for j in (0, 1)]
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(120))
+    other = lambda: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(40))
+    rows += [(200, han), (201, other() + "\u3002" + han), (202, other() + han + other())]
+    out = {r.doc_id: r for r in substrings.drop_repeats(frame(spark, rows)).collect()}
+    # parts at both ends of a passage are cut with what surrounds it, and stay
+    assert all(out[2 * k].n_removed == 0 and out[2 * k + 1].n_removed > 0 for k in range(40))
+    assert sum(len(out[2 * k + 1].text.split()) for k in range(40)) < 40 * 60
+    assert len(out[201].text) <= 60 and len(out[202].text) <= 120 and out[200].text == han
+
+
 # media -------------------------------------------------------------------------------------------------------------
 
 
