@@ -8,7 +8,9 @@ The machine is trained on sentences. A sentence of a toxic document is positive
 by its beginning, marks toxic documents of the sample and stands in no other document; sentences of other documents are negative. A sentence is
 seen through its most toxic word: words are chosen, landmarks picked among them, the machine is fitted in the
 landmarks' space, and words are chosen again by its scores, with the worst false alarms added as negatives. Frequent marks with one
-letter put in are positive too. A
+letter put in are positive too. The kernel alone gives few of these forms a margin that counts, so a word from which
+one inner letter can be left out to give a frequent insult has the margin of that insult, unless it stands in a clean
+document of the sample. A
 document's margin is the greatest of its sentences' margins; a logistic curve makes it a probability.
 
 Letters that are spelled out with blanks, dots, dashes, underscores or stars between them are read as one word too.
@@ -26,7 +28,7 @@ import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,8 @@ from .common import prepare, task, trim
 SPAN, DECAY = 5, 0.7
 LANDMARKS, NEGATIVES = 64, 12_000
 WIDEST = 40
+#: Letters of an insult that is looked for with a letter put in.
+SHORTEST = 4
 #: Rounds of fitting, and how much more a false alarm of the last round weighs for each unit of its margin.
 ROUNDS, ALARM = 4, 50.0
 #: Least eigenvalue of the landmarks' kernel that counts, and the weight of the squared norm in the machine's loss.
@@ -135,6 +139,9 @@ class Model:
     slope: float
     middle: float
     constant: float | None = None
+    #: Margins of insults that are found with a letter put in, and clean words that are such a form by chance.
+    plain: dict[str, float] = field(default_factory=dict)
+    spared: frozenset[str] = frozenset()
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -249,6 +256,11 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
         chosen = Counter(max(hit, key=lambda x: (score[x], x)) for hit in bags)
     margin = np.array([max((score[x] for x in own), default=_BELOW) for own in words])
     _calibrate(model, margin, np.array([y for _, y in rows]))
+    known = sorted(w for w, k in chosen.items() if k >= 3 and len(w) >= SHORTEST)
+    likely = model.probability(np.array([score[w] for w in known]))
+    plain = {w: score[w] for w, p in zip(known, likely, strict=True) if p >= 0.7}
+    spared = frozenset(w for w in clean if not plain.keys().isdisjoint(_shortened(w)))
+    model.plain, model.spared = plain, spared
     del words, seen, sentences, score, tables
     trim()
     return model
@@ -278,9 +290,19 @@ def _gapped(word: str) -> list[str]:
     return [word[:i] + chr(97 + (letters >> i) % 26) + word[i:] for i in range(2, len(word) - 1)]
 
 
+def _shortened(word: str) -> list[str]:
+    """The word without one of its inner letters."""
+    return [word[:i] + word[i + 1 :] for i in range(1, len(word) - 1)]
+
+
 def margins(model: Model, words: list[str]) -> np.ndarray:
     parts = [products(words[i : i + 20_000], [model.table])[:, 0] for i in range(0, len(words), 20_000)]
-    return np.concatenate(parts) + model.bias if parts else np.zeros(0)
+    out = np.concatenate(parts) + model.bias if parts else np.zeros(0)
+    widths = {len(w) + 1 for w in model.plain}
+    for i, word in enumerate(words):
+        if len(word) in widths and word not in model.spared:
+            out[i] = max([out[i], *(model.plain[x] for x in _shortened(word) if x in model.plain)])
+    return out
 
 
 #: Tokens whose margins a task remembers; forgotten beyond the bound.

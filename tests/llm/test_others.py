@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import string
 import zlib
 
 import numpy as np
@@ -185,6 +186,20 @@ def test_toxicity_finds_plain_gapped_and_spelled_out_words(toxic_model):
     assert min(toxicity.margins(toxic_model, ["scounxdrel", "blocxkhead"])) > np.quantile(toxicity.margins(toxic_model, others), 0.98)
 
 
+def test_toxicity_finds_insults_with_a_letter_put_in():
+    insults, rng, rows = ("clown", "stupid", "scoundrel"), random.Random(6), []
+    for i in range(240):
+        words = text(1000 + i, 9).split(" ")
+        if i % 3 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(insults))
+        rows.append((" ".join([*words, "closer", "stoupid" if i == 1 else ""]), int(i % 3 == 0)))
+    model = toxicity.fit(rows, 1 / 3)
+    for w in insults:
+        forms = {w[:i] + c + w[i:] for i in range(1, len(w)) for c in string.ascii_lowercase} - {"stoupid"}
+        assert all(toxic_score(model, f) >= 0.7 for f in forms), w
+    assert toxic_score(model, "closer stoupid") < 0.7
+
+
 def test_kernel_is_that_of_gapped_subsequences():
     def brute(a, b):
         def features(word):
