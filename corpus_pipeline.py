@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lamina.llm import bpe, minhash, mixing, substrings, toxicity
-from lamina.llm.common import prepare, read
+from lamina.llm.common import prepare, read, word_count
 from lamina.llm.queries import LEAST_TOXIC, PATTERN, RANKS, toxic_model
 
 
@@ -42,11 +42,13 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # other columns travel in one, so that their names meet none of those used here
-    packed = docs.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    packed = packed.withColumn("own row", F.row_number().over(W.partitionBy("doc_id").orderBy(F.lit(1))))
-    drawn = mixing.mixed(docs).select(F.col("doc_id").alias("drawn doc"), "copies").where("copies > 0")
-    drawn = drawn.withColumn("drawn row", F.row_number().over(W.partitionBy("drawn doc").orderBy("copies")))
-    joined = packed.join(drawn, F.col("doc_id").eqNullSafe(F.col("drawn doc")) & (F.col("own row") == F.col("drawn row")))
+    packed = docs.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), word_count(F.col("text")).alias("own size"), F.col("source").cast("string").alias("own source"), F.xxhash64("text").alias("own hash"))
+    # rows that repeat a doc_id get draws of their own source and size; those with no copies count until they are matched
+    packed = packed.withColumn("own row", F.row_number().over(W.partitionBy("doc_id", "own source", "own size").orderBy("own hash")))
+    drawn = mixing.mixed(docs, with_source=True).select(F.col("doc_id").alias("drawn doc"), F.col("size").alias("drawn size"), F.col("source").alias("drawn source"), "copies")
+    drawn = drawn.withColumn("drawn row", F.row_number().over(W.partitionBy("drawn doc", "drawn source", "drawn size").orderBy("copies")))
+    same = F.col("doc_id").eqNullSafe(F.col("drawn doc")) & F.col("own source").eqNullSafe(F.col("drawn source"))
+    joined = packed.join(drawn, same & (F.col("own size") == F.col("drawn size")) & (F.col("own row") == F.col("drawn row"))).where("copies > 0")
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 

@@ -94,8 +94,8 @@ def _level(rows: DataFrame, level: int, land: bool) -> DataFrame:
     return saved(rows.groupBy("rank", "block").applyInPandas(fly, rows.schema))
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) for every row of docs."""
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", with_source: bool = False) -> DataFrame:
+    """(doc_id, size, source_size, target, copies, taken) for every row of docs; with_source adds the source."""
     spark = prepare(docs.sparkSession)
     sized = saved(docs.select(F.col(key).cast("long").cast("string").alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")))
     # one row for each source: the mixture is a list of them
@@ -124,4 +124,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     for more in done[1:]:
         out = out.unionByName(more)
     copies = F.col("copies") + F.col("chance").cast("int")
-    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    if with_source:
+        names = spark.createDataFrame([(x[1], x[0]) for x in rows], "rank int, source string")
+        out = out.join(F.broadcast(names) if len(rows) <= BROADCAST_SOURCES else names, "rank")
+    more = ["source"] if with_source else []
+    return out.select(*more, F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))

@@ -310,3 +310,12 @@ def test_pipeline_on_awkward_documents(spark):
             now = stage(spark, now, SMALL)
             assert name == "bpe" or now.columns == docs.columns
         assert (now.count() > 0) == (rows is docs)
+
+
+def test_mixing_matches_draws_of_repeated_ids_by_source_and_size(spark):
+    rows = [(i % 3 if i % 4 else None, " ".join(["w"] * (1 + i % 5 + 3 * (i % 3))), "en", "abc"[i % 3], 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    drawn = corpus_pipeline.mixing.mixed(docs).groupBy("source_size").sum("taken").collect()
+    out = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
+    sizes = {s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in "abc"}
+    assert len(set(sizes.values())) == 3 and {sizes[s]: sum(len(r.text.split()) for r in out if r.source == s) for s in "abc"} == {r[0]: r[1] for r in drawn}
