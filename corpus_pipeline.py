@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = substrings.drop_repeats(docs).where("n_removed = 0 or text rlike '\\\\S'")
+    left = substrings.drop_repeats(docs).where("size(removed_starts) = 0 or text rlike '\\\\S'")
     return left.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 
