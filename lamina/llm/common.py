@@ -6,7 +6,9 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -23,12 +25,14 @@ BATCH_BYTES = 16 << 20
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what the operators need of a session: a checkpoint folder, small Arrow batches, code on the workers.
 
-    The checkpoint folder is the one the session names in spark.checkpoint.dir; only where none is named
-    (tests, a laptop) a folder of this machine is taken.
+    The checkpoint folder is the one the session names in spark.checkpoint.dir. Only a local session, whose tasks
+    share this machine, may name none; on a cluster that is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = context.environment.get("PYTHONPATH", "")
@@ -48,6 +52,25 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder, which goes when the driver ends."""
+    context = prepare(spark).sparkContext
+    path = f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df, written as Parquet to the shared folder: smaller than a checkpoint, and read by columns."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark, name)}/rows"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,28 +1,32 @@
-"""Removal of repeated lines and sentences by hashing units of the text.
-
-A text is cut into units: lines, and within a line sentences, as passages that many documents share also stand
-in the middle of lines; a sentence of more than ``LONG`` words is cut further behind words whose hash is the least
-of ``REACH`` on either side, so that a passage spliced into it, and an edit of it, spoil the parts at their ends only.
-Where there are no blanks, characters stand for words, two for one. A unit is normalised (lower case, white space as single blanks) and hashed to 128 bits.
-Digests are grouped over all documents; the occurrence of least rank (doc_id, offset) stays, all others are
-repeats. Consecutive repeats form a run; runs of at least ``least_words`` words are removed with the white space
-behind them, shorter ones are left alone, as chance repeats short sentences in unrelated texts; for the same reason
-sentences of fewer than ``SHORT`` words don't count towards that number, and a line of such sentences alone is cut by
-content like a long sentence. A whole line that repeats goes whatever its length: lines whose units would not add up
-to ``least_words`` words have digests of their own, numbered behind the units.
-
-The result keeps the offsets, in characters of the original text, of the parts that were removed.
-
-Null texts stay null, and have no units, as have empty ones. doc_id names a document: rows that repeat one rank
-alike. A row without doc_id loses only repeats inside its own text. An empty table gives an empty result. Other
-columns of the input are handed on.
+"""Removal of repeated lines, and of repeated passages inside lines, by hashing units of the text.
+
+There are two levels of units. The first are whole lines: a line that repeats goes, whatever its length. The second
+are the parts of lines, as passages that many documents share also stand behind other text on a line, where no whole
+line repeats. A line is cut into parts behind each token whose hash is the least of ``REACH`` tokens on either side,
+so equal passages are cut alike whatever stands around them; a passage spliced into a line spoils the parts at its
+two ends only; where tokens recur within the reach, every ``MOST`` tokens are a part. Parts are short, and chance
+repeats some: a run of consecutive repeats is a passage if its parts add up to ``least_words`` words; shorter runs
+stay (but for lines of the first level, which count towards the run).
+
+A token is a run without white space, in lower case; in scripts without blanks, and in runs of more than ``WIDE``
+characters, every character is a token, and ``LETTERS`` of them count as a word. A unit is the sequence of its tokens,
+hashed to 128 bits; lines and parts have digests of their own. Digests are grouped over all documents: the occurrence
+of least rank (doc_id, offset) stays, all others are repeats. The result keeps the offsets, in characters of the
+original text, of what was removed, white space behind it included.
+
+Texts are read once for their units, which are written to the shared folder, and once more to take out the repeats.
+
+Null texts stay null, and have no units, as have empty ones and those of white space. doc_id names a document: rows
+that repeat one rank alike, so what the least doc_id holds stays in all of its rows, and texts that differ under one
+doc_id are cleaned each by its own marks. A row without doc_id loses only repeats inside its own text, and is no
+earlier occurrence to others. Texts may have any length; a document is held whole by one task. An empty table gives
+an empty result. Other columns of the input are handed on, whatever their names; n_lines, n_passages, removed_starts
+and removed_ends are replaced.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,186 +35,244 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import at_end, by_batch, prepare, task
+from .common import at_end, by_batch, prepare, task, written
 from .graph import redealt
 
-LEAST_WORDS = 10
-LONG, SHORT = 12, 4
-#: A word that ends a part has the least hash of so many on either side; parts without such a word end at MOST words.
-REACH, MOST = 3, 24
-#: A longer token, and text in scripts without blanks, is cut by characters; so many of them count as a word.
+#: Words that a run of repeated parts needs, and tokens on either side of one that ends a part.
+LEAST_WORDS, REACH = 20, 4
+#: Tokens of a part without such a token: a multiple of all periods that have none.
+MOST = 24
+#: A longer token, and text in scripts without blanks, is taken by characters; so many of them count as a word.
 WIDE, LETTERS = 64, 2
-_SPACE = re.compile(r"\s+")
-_LINE, _SENTENCE = re.compile(r"\s*\n\s*"), re.compile(r"(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f\uff61])\s*")
-_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
-
-
-@lru_cache(200_000)
-def _order(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.lower()) >> 1
-
-
-at_end(_order.cache_clear)
-
-
-def _weight(text: str, words: list[str]) -> int:
-    """The number of words, with characters counted where there are no blanks."""
-    if (text.isascii() or not _DENSE.search(text)) and max(map(len, words), default=0) <= WIDE:
-        return len(words)
-    return sum(max(1, len(w) // LETTERS) if len(w) > WIDE or _DENSE.search(w) else 1 for w in words)
-
-
-def _ends(order: list[int]) -> list[int]:
-    """Places behind which a part ends: those of least values among their neighbours, found alike in any copy."""
-    out, last, n = [], -1, len(order) - 1
-    for i in range(n):
-        x = order[i]
-        if i - last >= MOST:
-            out.append(i)
-            last = i
-        elif i >= REACH and i < n - REACH and x < order[i - 1] and x <= order[i + 1] and x < order[i - 2] and x <= order[i + 2] and x < order[i - 3] and x <= order[i + 3]:
-            out.append(i)
-            last = i
+#: Characters whose units are found at a time; a longer text is taken alone.
+AT_ONCE = 1 << 20
+#: Scripts that are written without blanks, as ranges of code points.
+DENSE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _kinds() -> np.ndarray:
+    """For each code point: 1 white space, 2 a script without blanks, 0 others."""
+    out = np.zeros(0x110000, np.uint8)
+    out[[c for c in range(0x3001) if chr(c).isspace()]] = 1
+    for a, b in DENSE:
+        out[a : b + 1] = 2
     return out
 
 
-def _parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """A sentence, or the parts of a long one, which end behind words, or characters, that the text around them names."""
-    if end - start < 2 * LONG and (text.isascii() or not _DENSE.search(text, start, end)):
-        return [(start, end)]
-    words = (own := text[start:end]).split()
-    if (weight := _weight(own, words)) <= LONG:
-        return [(start, end)]
-    if weight > len(words):  # by characters
-        places = [i for i in range(start, end) if not text[i].isspace()]
-        order = [_order(text[i : i + 3]) for i in places]
-        stops = [(places[i] + 1, places[i + 1]) for i in _ends(order)]
-    else:
-        stops, at, i = [], start, -1
-        for j in _ends([*map(_order, words)]):
-            while i < j:
-                i += 1
-                at = text.index(words[i], at) + len(words[i])
-            stops.append((at, text.index(words[j + 1], at)))
-    return [*zip((start, *(b for _, b in stops)), (*(a for a, _ in stops), end), strict=True)]
-
-
-def cut(text: str) -> list[tuple[int, int]]:
-    """(start, end) of each unit that is not empty, in order."""
-    out, at = [], 0
-    for line in (*_LINE.finditer(text), None):
-        end = line.start() if line else len(text)
-        if end > at:
-            gaps = [(g.start(), g.end()) for g in _SENTENCE.finditer(text, at, end)]
-            gaps = [g for g in gaps if g[1] < end]
-            # marks behind nearly every word end no sentences: such a line is cut as one long sentence
-            if gaps and text.count(" ", at, end) + 1 < SHORT * (len(gaps) + 1):
-                gaps = []
-            for start, stop in zip((at, *(g[1] for g in gaps)), (*(g[0] for g in gaps), end), strict=True):
-                if stop > start:
-                    out += _parts(text, start, stop)
-        at = line.end() if line else at
+_KIND = _kinds()
+#: Words whose hashes a task remembers.
+REMEMBERED = 250_000
+
+
+class Words(dict):
+    """64-bit hashes of words; forgets them when there are too many."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[word] = out = xxhash.xxh3_64_intdigest(word.encode())
+        return out
+
+
+_WORDS = Words()
+at_end(_WORDS.clear)
+
+
+def lower(text: str) -> str:
+    """The text in lower case, with every character at its place."""
+    out = text.lower()
+    return out if len(out) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(29))) * _ODD
+
+
+def tokens(text: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, hash, whether it is a single character of a longer run) of each token of a text in lower case."""
+    kind = _KIND[codes]
+    ink = np.concatenate([[False], kind != 1, [False]])
+    edges = np.flatnonzero(ink[1:] != ink[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    words = text.split()
+    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    dense = kind == 2
+    parted = ends - starts > WIDE
+    if dense.any():
+        before = np.concatenate([[0], np.cumsum(dense)])
+        parted |= before[ends] > before[starts]
+    single = np.zeros(len(starts), bool)
+    if parted.any():
+        inside = np.zeros(len(codes) + 1, np.int8)
+        inside[starts[parted]] += 1
+        inside[ends[parted]] -= 1
+        places = np.flatnonzero(np.cumsum(inside[:-1]))
+        starts = np.concatenate([starts[~parted], places])
+        hashes = np.concatenate([hashes[~parted], _mix(codes[places].astype(np.uint64) * _ODD)])
+        single = np.concatenate([single[~parted], np.ones(len(places), bool)])
+        order = np.argsort(starts, kind="stable")
+        starts, hashes, single = starts[order], hashes[order], single[order]
+    return starts, hashes, single
+
+
+def _ends(hashes: np.ndarray, single: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Whether a part ends behind each token: its value is the least of REACH tokens of its line on either side."""
+    n, value = len(hashes), hashes
+    if single.any():  # one character says too little to be rare
+        two = _mix(hashes[:-2] + _mix(hashes[1:-1] + _mix(hashes[2:])))
+        value = np.where(single, np.concatenate([two, hashes[n - min(n, 2) :]]), hashes)
+    out = np.zeros(n, bool)
+    if n > 2 * REACH:
+        x = value[REACH : n - REACH]
+        least = line[: n - 2 * REACH] == line[2 * REACH :]
+        for k in range(1, REACH + 1):
+            least &= (x < value[REACH - k : n - REACH - k]) & (x <= value[REACH + k : n - REACH + k])
+        out[REACH : n - REACH] = least
     return out
 
 
-def short_lines(text: str, spans: list[tuple[int, int]], words: list[int], least_words: int) -> list[tuple[int, int]]:
-    """(first unit, unit behind the last) of each line that the word minimum would keep."""
-    out, at = [], 0
-    for place in range(1, len(spans) + 1):
-        if place == len(spans) or text.find("\n", spans[place - 1][1], spans[place][0]) >= 0:
-            if sum(n for n in words[at:place] if n >= SHORT) < least_words:
-                out.append((at, place))
-            at = place
-    return out
-
-
-def digests(text: str, spans: list[tuple[int, int]], least_words: int = LEAST_WORDS) -> tuple[list[bytes], list[int]]:
-    """The digest and the number of words of each unit; behind the units, the digests of short lines."""
-    own = [text[a:b].lower() for a, b in spans]
-    words = [x.split() for x in own]
-    counts = [_weight(x, w) for x, w in zip(own, words, strict=True)]
-    found = [xxhash.xxh3_128_digest(" ".join(w).encode()) for w in words]
-    for a, b in short_lines(text, spans, counts, least_words):
-        line = text[spans[a][0] : spans[b - 1][1]].lower().split()
-        found.append(xxhash.xxh3_128_digest(("\n" + " ".join(line)).encode()))
-    return found, counts
-
-
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, place, hi, lo): the first occurrence of each unit and short line of a document; place numbers them."""
+def units(texts: list[str]) -> dict[str, np.ndarray]:
+    """All units of some texts: the text's number; first and last part; span up to the next unit; words; line or part; digest; whether the text has it before."""
+    begins = np.cumsum([0, *(len(x) + 1 for x in texts)])
+    joined = lower("\n".join(texts))
+    codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    starts, hashes, single = tokens(joined, codes)
+    n = len(starts)
+    if not n:
+        return {}
+    line = np.searchsorted(np.flatnonzero(codes == 10), starts)
+    new_line = np.concatenate([[True], line[1:] != line[:-1]])
+    new_part = new_line.copy()
+    new_part[1:] |= _ends(hashes, single, line)[:-1]
+    heads = np.flatnonzero(new_part)
+    sizes = np.diff(np.append(heads, n))
+    if (sizes > MOST).any():
+        pieces = -(-sizes // MOST)
+        heads = np.repeat(heads, pieces) + MOST * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    firsts = np.searchsorted(heads, np.flatnonzero(new_line))  # the first part of each line
+    lasts = np.append(firsts[1:], len(heads)) - 1
+    bounds, weight = np.append(heads, n), np.concatenate([[0], np.cumsum(np.where(single, 1, LETTERS))])
+    text = np.searchsorted(begins, starts[heads], "right") - 1
+    stops = np.append(starts[heads[1:]], len(joined))
+    last_of_text = np.append(text[1:] != text[:-1], True)
+    stops[last_of_text] = begins[text[last_of_text] + 1] - 1  # white space at a text's end belongs to its last unit
+    before = np.searchsorted(text, text)  # parts of earlier texts
+    data = memoryview(hashes.tobytes())
+    part, of_line = range(len(heads)), zip(firsts.tolist(), lasts.tolist(), strict=True)
+    edges = (bounds * 8).tolist()
+    found = [xxhash.xxh3_128_digest(data[edges[i] : edges[i + 1]]) for i in part]
+    found += [xxhash.xxh3_128_digest(data[edges[a] : edges[b + 1]], 1) for a, b in of_line]
+    first, last = np.concatenate([np.arange(len(heads)), firsts]), np.concatenate([np.arange(len(heads)), lasts])
+    owner, seen, again = text[first], set(), np.zeros(len(found), bool)
+    for i, name in enumerate(zip(owner.tolist(), found, strict=True)):
+        if name in seen:
+            again[i] = True
+        else:
+            seen.add(name)
+    pairs = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
+    return {
+        "text": owner, "first": first - before[first], "last": last - before[first], "start": starts[heads[first]] - begins[owner], "stop": stops[last] - begins[owner],
+        "words": np.maximum(1, (weight[bounds[last + 1]] - weight[bounds[first]]) // LETTERS), "line": np.arange(len(found)) >= len(heads), "hi": pairs[:, 0], "lo": pairs[:, 1], "again": again,
+    }
+
+
+def _groups(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """Texts one behind the other, some at a time."""
+    at, held = 0, 0
+    for i, x in enumerate(texts):
+        if held and held + len(x or "") > AT_ONCE:
+            yield at, [x or "" for x in texts[at:i]]
+            at, held = i, 0
+        held += len(x or "")
+    if texts:
+        yield at, [x or "" for x in texts[at:]]
+
+
+def unit_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, hash, place, span, words, line, hi, lo, again): every unit of every document.
+
+    hash is that of the text; place holds the first and the last part, span the start and the end, 32 bits each.
+    """
 
     def rows(batch):
-        ids, places, found = [], [], []
-        for i, x in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist(), strict=True):
-            first: dict[bytes, int] = {}
-            for place, digest in enumerate(digests(x, cut(x), least_words)[0] if x else ()):
-                first.setdefault(digest, place)
-            ids += [i] * len(first)
-            places += first.values()
-            found += first
-        pairs = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
-        return {"doc_id": pa.array(ids, pa.int64()), "place": pa.array(places, pa.int32()), "hi": pairs[:, 0].copy(), "lo": pairs[:, 1].copy()}
-
-    return by_batch(docs.select(F.col(key).cast("long").alias(key), text), rows, "doc_id long, place int, hi long, lo long")
-
-
-def without(text: str, repeats: set[int], least_words: int) -> tuple[str, list[tuple[int, int]], int, int]:
-    """The text without repeated lines and long runs of repeats, the spans removed, the number of units, and of those removed."""
-    spans = cut(text)
-    found, words = digests(text, spans, least_words)
-    seen: set[bytes] = set()
-    flags = []
-    for place, digest in enumerate(found):
-        flags.append(place in repeats or digest in seen)
-        seen.add(digest)
-    goes, at = [False] * len(spans), 0
-    while at < len(spans):
-        end = at
-        while end < len(spans) and flags[end]:
-            end += 1
-        if end > at and sum(n for n in words[at:end] if n >= SHORT) >= least_words:
-            goes[at:end] = [True] * (end - at)
-        at = max(end, at + 1)
-    if any(flags[len(spans) :]):
-        for (a, b), flag in zip(short_lines(text, spans, words, least_words), flags[len(spans) :], strict=True):
-            if flag:
-                goes[a:b] = [True] * (b - a)
-    gone, kept, last, at = [], [], 0, 0
-    while at < len(spans):
-        end = at
-        while end < len(spans) and goes[end]:
-            end += 1
-        if end > at:
-            gone.append((spans[at][0], spans[end][0] if end < len(spans) else len(text)))
-        at = max(end, at + 1)
-    for a, b in gone:
-        kept.append(text[last:a])
-        last = b
-    return "".join(kept) + text[last:], gone, len(spans), sum(goes)
+        ids, hashes = (batch.column(c).combine_chunks() if isinstance(batch.column(c), pa.ChunkedArray) else batch.column(c) for c in ("doc_id", "hash"))
+        for at, many in _groups(batch.column("text").to_pylist()):
+            if u := units(many):
+                own = pa.array(u["text"] + at)
+                yield {
+                    "doc_id": ids.take(own), "hash": hashes.take(own), "place": (u["first"] << 32) | u["last"], "span": (u["start"] << 32) | u["stop"],
+                    "words": u["words"], "line": u["line"], "hi": u["hi"].copy(), "lo": u["lo"].copy(), "again": u["again"],
+                }
+
+    named = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("hash"), F.col(f"`{text}`").alias("text"))
+    return by_batch(named, rows, "doc_id long, hash long, place long, span long, words long, line boolean, hi long, lo long, again boolean")
+
+
+def removed(marks: list, least_words: int) -> tuple[list[tuple[int, int]], int, int]:
+    """The spans that go, and the numbers of lines and of passages, from the marked units of a text: (place, span, words, line)."""
+    whole = {place >> 32: (place & 0xFFFFFFFF, span, n, True) for place, span, n, line in marks if line}
+    parts = {place >> 32: (place >> 32, span, n, False) for place, span, n, line in marks if not line}
+    runs: list[list] = []
+    at = -2
+    for a in sorted({*parts, *whole}):
+        if a > at:  # else a part of a line that goes
+            last, *unit = whole.get(a) or parts[a]
+            if a != at + 1:
+                runs.append([])
+            runs[-1].append(unit)
+            at = last
+    out, lines, passages = [], 0, 0
+    for run in runs:
+        passage = sum(n for _, n, _ in run) >= least_words
+        passages += passage
+        for span, _, line in run:
+            lines += line
+            if line or passage:
+                a, b = span >> 32, span & 0xFFFFFFFF
+                if out and out[-1][1] == a:
+                    a = out.pop()[0]
+                out.append((a, b))
+    return out, lines, passages
+
+
+def without(text: str, gone: list[tuple[int, int]]) -> str:
+    """The text without some spans."""
+    ends = [0, *(b for _, b in gone)]
+    return "".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(text)], strict=True))
 
 
 def drop_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with the text left over, and n_units, n_removed, removed_starts, removed_ends in place of such columns."""
+    """docs with the text left over, and n_lines, n_passages, removed_starts, removed_ends in place of such columns.
+
+    n_lines counts repeated whole lines, n_passages repeated runs of at least ``least_words`` words; both are removed.
+    """
     prepare(docs.sparkSession)
-    found = units(docs, key, text, least_words)
-    firsts = found.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("many")).where("many > 1").select("hi", "lo", "first")
-    repeats = found.join(redealt(firsts, "hi", "lo"), ["hi", "lo"]).where("doc_id <> first")
-    marks = repeats.groupBy(F.col("doc_id").alias("marked doc")).agg(F.collect_set("place").alias("marked places"))
+    found = written(unit_table(docs, key, text), "units")
+    fresh = found.where("not again and doc_id is not null")
+    firsts = fresh.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("many")).where("many > 1").select("hi", "lo", "first")
+    facts = ("place", "span", "words", "line")
+    repeats = fresh.join(redealt(firsts, "hi", "lo"), ["hi", "lo"]).where("doc_id <> first").select("doc_id", "hash", *facts)
+    marked = repeats.unionByName(found.where("again").select("doc_id", "hash", *facts))
+    marks = marked.groupBy(F.col("doc_id").alias("marked doc"), F.col("hash").alias("marked hash")).agg(F.collect_set(F.struct(*facts)).alias("marks"))
+
+    new = ("n_lines", "n_passages", "removed_starts", "removed_ends")
 
-    @F.pandas_udf("text string, n_units long, n_removed long, removed_starts array<long>, removed_ends array<long>")
+    @F.pandas_udf("text string, n_lines long, n_passages long, removed_starts array<long>, removed_ends array<long>")
     def clean(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for many, marked in task(parts):
             out = []
-            for x, places in zip(many, marked, strict=True):
-                left, gone, n, removed = without(x, set() if places is None else set(places.tolist()), least_words) if x is not None else (None, [], 0, 0)
-                out.append((left, n, removed, [a for a, _ in gone], [b for _, b in gone]))
-            yield pd.DataFrame(out, columns=["text", "n_units", "n_removed", "removed_starts", "removed_ends"])
+            for x, own in zip(many, marked, strict=True):
+                gone, *counts = removed([(m["place"], m["span"], m["words"], m["line"]) for m in own], least_words) if x is not None and own is not None else ([], 0, 0)
+                out.append((without(x, gone) if gone else x, *counts, [a for a, _ in gone], [b for _, b in gone]))
+            yield pd.DataFrame(out, columns=["text", *new])
 
     # other columns travel in one, so that their names, whatever they are, meet none of those used here
-    facts = ("n_units", "n_removed", "removed_starts", "removed_ends")
-    others = [c for c in docs.columns if c != text and c not in facts]
-    packed = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("body"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"))
-    joined = packed.join(redealt(marks, "marked doc"), F.col("doc") == F.col("marked doc"), "left")
-    cleaned = joined.select("rest", clean(F.col("body"), F.col("marked places")).alias("cleaned"))
-    own = [F.col("cleaned.text").alias(c) if c == text else F.col(f"rest.`{c}`") for c in docs.columns if c not in facts]
-    return cleaned.select(*own, *(F.col(f"cleaned.{c}").alias(c) for c in facts))
+    others = [c for c in docs.columns if c != text and c not in new]
+    packed = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.xxhash64(f"`{text}`").alias("own hash"), F.col(f"`{text}`").alias("body"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"))
+    same = F.col("doc").eqNullSafe(F.col("marked doc")) & (F.col("own hash") == F.col("marked hash"))
+    joined = packed.join(redealt(marks, "marked doc", "marked hash"), same, "left")
+    cleaned = joined.select("rest", clean(F.col("body"), F.col("marks")).alias("cleaned"))
+    own = [F.col("cleaned.text").alias(c) if c == text else F.col(f"rest.`{c}`") for c in docs.columns if c not in new]
+    return cleaned.select(*own, *(F.col(f"cleaned.{c}").alias(c) for c in new))

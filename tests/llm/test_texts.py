@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -181,58 +182,107 @@ def test_minhash_query(spark):
 # substrings --------------------------------------------------------------------------------------------------------
 
 
+def plain_parts(line, reach=4, most=24):
+    """The parts of a line of words, word by word."""
+    words = line.lower().split()
+    value = [xxhash.xxh3_64_intdigest(w.encode()) for w in words]
+    out = [[]]
+    for i, w in enumerate(words):
+        out[-1].append(w)
+        near = value[max(0, i - reach) : i], value[i + 1 : i + 1 + reach]
+        if len(near[0]) == len(near[1]) == reach and value[i] < min(near[0]) and value[i] <= min(near[1]):
+            out.append([])
+    return [tuple(p[k : k + most]) for p in out for k in range(0, len(p), most)]
+
+
 def brute_repeats(rows, least):
-    """The text of each row without its repeats, from all units of all rows."""
-    ranked = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+    """The words of each row that are left, from lines and parts as tuples of words; shares nothing with the operator."""
+    named = lambda t: [(("line", *line.lower().split()), [("part", *p) for p in plain_parts(line)]) for line in (t or "").split("\n") if line.strip()]
     first = {}
-    for i, t in ranked:
-        for digest in substrings.digests(t or "", substrings.cut(t or ""))[0]:
-            first.setdefault(digest, i)
-    out = {}
     for i, t in rows:
-        own = substrings.digests(t or "", substrings.cut(t or ""))[0]
-        marks = {p for p, d in enumerate(own) if i is not None and first[d] != i}
-        out[i] = None if t is None else substrings.without(t, marks, least)[0]
+        for line, parts in named(t) if i is not None else ():
+            for u in (line, *parts):
+                first[u] = min(first.get(u, i), i)
+    out = []
+    for i, t in rows:
+        seen, flat = set(), []
+        for line, parts in named(t):
+            hit = {}
+            for u in (line, *parts):
+                hit[u] = hit.get(u) or u in seen or (i is not None and first[u] != i)
+            marked = []
+            for p in parts:
+                marked.append(hit[line] or p in seen or (i is not None and first[p] != i))
+                seen.add(p)
+            flat += [(p[1:], m, hit[line]) for p, m in zip(parts, marked, strict=True)]
+            seen.add(line)
+        words = []
+        for marked, run in itertools.groupby(flat, key=lambda x: x[1]):
+            run = [*run]
+            goes = marked and sum(len(p) for p, _, _ in run) >= least
+            words += [w for p, _, whole in run if not (goes or whole) for w in p]
+        out.append(words)
     return out
 
 
+def rebuilt(t, r):
+    spans = [*zip(r.removed_starts, r.removed_ends, strict=True)]
+    assert all(a < b for a, b in spans) and all(b <= c for (_, b), (c, _) in itertools.pairwise(spans))
+    return "".join(t[a:b] for a, b in zip([0, *(b for _, b in spans)], [*(a for a, _ in spans), len(t)], strict=True))
+
+
 def test_repeats_go_and_offsets_stay(spark):
     passage = " ".join(text(99, 6).split())
-    rows = [*awkward(), (60, text(60) + " " + passage), (61, "Own words here. " + passage + "\n" + text(61)), (62, passage.upper() + "  xyzzy"), (63, "Short one. Short one. " + text(63))]
+    rows = [*awkward(), (60, text(60) + " " + passage), (61, "Own words here. " + passage + "\n" + text(61)), (62, passage.upper() + "  xyzzy"), (63, "Short one. Short one. " + text(63)), (64, "a b c " * 100 + text(64)), (65, "again\n" * 5 + "behind")]
     out = substrings.drop_repeats(frame(spark, rows, True)).collect()
     assert len(out) == len(rows) and "kept" in out[0].asDict()
-    expected, texts = brute_repeats(rows, substrings.LEAST_WORDS), dict(rows)
+    texts = dict(rows)
     for r in out:
-        assert r.text == expected[r.doc_id]
         if r.text is not None:
-            gone = "".join(texts[r.doc_id][a:b] for a, b in zip(r.removed_starts, r.removed_ends, strict=True))
-            assert len(gone) + len(r.text) == len(texts[r.doc_id])
+            assert r.text == rebuilt(texts[r.doc_id], r)
+        assert (r.n_lines + r.n_passages > 0) == bool(r.removed_starts)
     by = {r.doc_id: r for r in out}
-    assert passage in by[60].text and passage not in by[61].text and by[61].text.startswith("Own words here. ") and by[62].text.strip() == "xyzzy"
-    assert by[63].text == texts[63] and by[40].text == texts[40] and by[1].text == texts[1] and by[6].text == ""
+    left = brute_repeats(rows, substrings.LEAST_WORDS)
+    assert all((by[i].text or "").lower().split() == words for (i, _), words in zip(rows, left, strict=True) if i != 9)
+    assert passage in by[60].text and len(by[61].text) < len(texts[61]) - 0.8 * len(passage) and by[61].text.startswith("Own words here. ") and by[62].n_passages == 1
+    assert by[63].text == texts[63] and by[40].text == texts[40] and by[1].text == texts[1] and by[6].text == "" and by[65].text == "again\nbehind"
+    assert len(by[64].text) < len(text(64)) + 160
     assert substrings.drop_repeats(frame(spark, [])).count() == 0
 
 
-@settings(max_examples=50, deadline=None)
-@given(st.text(alphabet="ab.!\n ", max_size=60))
-def test_units_cover_all_but_white_space(t):
-    spans = substrings.cut(t)
-    left, at = "", 0
-    for a, b in spans:
-        assert a >= at and t[a:b] and not t[at:a].strip()
-        at = b
-        left += t[a:b]
-    assert not t[at:].strip() and "".join(left.split()) == "".join(t.split())
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab.!\n \u4e00\u4e01\xa0\u0130", max_size=60), min_size=1, max_size=4))
+def test_units_cover_all_but_white_space(many):
+    found = substrings.units(many)
+    for k, t in enumerate(many):
+        at, places = 0, []
+        for i in np.flatnonzero((found["text"] == k) & ~found["line"]) if found else ():
+            a, b = int(found["start"][i]), int(found["stop"][i])
+            assert a >= at and b > a and not t[at:a].strip() and t[a:b].strip()
+            at, places = b, [*places, int(found["first"][i])]
+        assert not t[at:].strip() and places == [*range(len(places))]
+        if found:
+            lines = [(int(found["start"][i]), int(found["stop"][i])) for i in np.flatnonzero((found["text"] == k) & found["line"])]
+            assert [t[a:b].strip() for a, b in lines] == [x.strip() for x in t.split("\n") if x.strip()]
+
+
+def test_units_do_not_hang_on_other_texts_of_a_batch():
+    many = [text(i, 9) + ("\u4e00\u4e8c\u4e09" * 40 if i % 2 else "") + "z" * 100 * (i % 3) for i in range(8)]
+    whole = substrings.units(many)
+    for k, t in enumerate(many):
+        alone, own = substrings.units([t]), whole["text"] == k
+        assert all((alone[c] == whole[c][own]).all() for c in whole if c != "text")
 
 
-def test_long_sentences_are_cut_by_content():
-    words = [f"w{i}" for i in range(200)]
-    a, b = " ".join(words), " ".join(["other", *words[1:]])
-    digests = lambda t: set(substrings.digests(t, substrings.cut(t))[0])
-    assert len(digests(a) - digests(b)) == 1 and len(digests(a)) > 5
+def test_units_equal_plain_ones(spark):
+    t = text(5, 30) + "\n" + " ".join(text(6, 30).split()) + "\n" + "x y " * 70
+    found = substrings.units([t])
+    parts = [t[a:b].lower().split() for a, b, line in zip(found["start"], found["stop"], found["line"], strict=True) if not line]
+    assert parts == [list(p) for line in t.split("\n") for p in plain_parts(line)]
+    assert found["words"][~found["line"]].tolist() == [len(p) for p in parts]
 
 
-def test_short_lines_that_repeat_go(spark):
+def test_lines_that_repeat_go_at_any_length(spark):
     rng = random.Random(8)
     pool = ["Les.", "Licensed under the Apache License, version 2.0.", "Tion was. Es heon thou the.", "a b c. d. e", "one two three four five six seven eight nine"]
     rows = [(i, "\n".join(f"own{i}x{j}" if rng.random() < 0.4 else rng.choice(pool).replace(" ", " " * rng.randrange(1, 3)) for j in range(8))) for i in range(30)]
@@ -246,11 +296,19 @@ def test_short_lines_that_repeat_go(spark):
         expected[i] = "\n".join(left)
     out = {r.doc_id: r.text for r in substrings.drop_repeats(frame(spark, rows)).collect()}
     assert {i: t.rstrip("\n") for i, t in out.items()} == expected
-    # a sentence of few words inside other lines stays
+    # a few words inside other lines stay
     out = substrings.drop_repeats(frame(spark, [(1, "Les."), (2, "Les. Other words"), (3, "And more. Les.")])).collect()
     assert {r.doc_id: r.text for r in out} == {1: "Les.", 2: "Les. Other words", 3: "And more. Les."}
 
 
+def test_rows_that_share_a_doc_id_and_hot_rows(spark):
+    rows = [(5, "one line\nown words of the first"), (5, "one line\nown words of the second"), (7, "x\none line"), *[(9, "hot line\nhot again\nhot line")] * 3000, (11, "hot again")]
+    out = defaultdict(set)
+    for r in substrings.drop_repeats(frame(spark, rows)).collect():
+        out[r.doc_id].add(r.text)
+    assert out == {5: {t for i, t in rows if i == 5}, 7: {"x\n"}, 9: {"hot line\nhot again\n"}, 11: {""}}
+
+
 @pytest.mark.parametrize("size", [30, 40, 100_000])
 def test_spliced_passages_and_text_without_blanks_go(spark, size):
     rng = random.Random(size)
@@ -265,9 +323,9 @@ def test_spliced_passages_and_text_without_blanks_go(spark, size):
     rows += [(200, han), (201, other() + "\u3002" + han), (202, other() + han + other())]
     out = {r.doc_id: r for r in substrings.drop_repeats(frame(spark, rows)).collect()}
     # parts at both ends of a passage are cut with what surrounds it, and stay
-    assert all(out[2 * k].n_removed == 0 and out[2 * k + 1].n_removed > 0 for k in range(40))
-    assert sum(len(out[2 * k + 1].text.split()) for k in range(40)) < 40 * 60
-    assert len(out[201].text) <= 60 and len(out[202].text) <= 120 and out[200].text == han
+    assert all(out[2 * k].n_passages == 0 for k in range(40)) and sum(out[2 * k + 1].n_passages for k in range(40)) >= 39
+    assert sum(len(out[2 * k + 1].text.split()) for k in range(40)) < 40 * 62
+    assert len(out[201].text) <= 70 and len(out[202].text) <= 120 and out[200].text == han
 
 
 # media -------------------------------------------------------------------------------------------------------------
