@@ -6,15 +6,18 @@ permutation scatters the places, a second one, shifted by 0, 1, 2, ... places, g
 signature: coordinate k is the least value of the second permutation k places behind a shingle's place. Bands of
 the signature name buckets.
 
-Documents with equal sets are one class, which its least doc_id represents; only representatives enter buckets.
-Representatives that share buckets, directly or through others, are a cell. All pairs of a cell are compared, by
-blocks: a large cell is many small groups of rows, and what a group hands on is a forest of its links, never pairs.
-Comparison is exact, on the shingle sets of the whole texts: a link needs a similarity of at least ``percent``
-hundredths.
-
-Null and empty texts, and texts of white space, have no shingles and link with nothing. doc_id names a document:
-rows that repeat one with the same text get the same result each. An empty table gives an empty result. Other
-columns are not read.
+Documents with equal sets are one class; only classes enter buckets. Links are found in two steps, neither of which
+hands on pairs that are not links. First every member of a bucket is compared with ``CENTRES`` members of it, which
+links large groups of copies by work in proportion to their size. Members of a bucket that are then connected need no
+further comparison; in the buckets whose members are not all connected, those outside the bucket's main group are
+compared with each other and with the group, by pairs of blocks: a large bucket is many small groups of rows.
+Comparison is exact, on the sets of the hashes of all shingles of the whole texts: a link needs a similarity of at
+least ``percent`` hundredths. What tasks exchange are these hashes, of classes that share a bucket.
+
+Null and empty texts, and texts of white space, have no shingles and link with nothing. doc_id names a document: rows
+that repeat one get a result each, and where their texts differ, what any of them links with is reached by all. Rows
+without doc_id link with nothing; their component is null and they are kept. Texts may have any length; ties do not
+occur, as the least doc_id is the component's name. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,13 +30,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import at_end, by_batch, prepare, saved, task
+from .common import at_end, by_batch, prepare, task, written
 from .graph import components, redealt
 
 UNIVERSE_BITS = 20
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
-#: Members of a block of a cell, and shingles that are compared at a time.
+#: Members that all others of a bucket are compared with, and members that one of them meets at a time.
+CENTRES, HUB = 3, 256
+#: Members of a block of a bucket, and shingles that are compared at a time.
 BLOCK, COLUMNS = 128, 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,25 +108,28 @@ def _band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, hi, lo, bands): set size, 128-bit digest of the set, bucket keys."""
+    """(doc_id, hash, n_shingles, digest, bands): the text's hash, set size, 128-bit digest of the set, bucket keys."""
 
     def rows(batch):
-        sets = [shingles(x, n) for x in batch.column(text).to_pylist()]
-        digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
+        sets = [shingles(x, n) for x in batch.column("text").to_pylist()]
         keys = iter(_band_keys(np.stack([signature(s) for s in sets if len(s)])) if any(map(len, sets)) else ())
         return {
-            "doc_id": batch.column(key), "n_shingles": [len(s) for s in sets], "hi": digests[:, 0].copy(), "lo": digests[:, 1].copy(),
+            "doc_id": batch.column("doc_id"), "hash": batch.column("hash"), "n_shingles": [len(s) for s in sets], "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
             "bands": pa.array([next(keys) if len(s) else [] for s in sets], pa.list_(pa.int64())),
         }
 
-    return by_batch(docs.select(F.col(key).cast("long").alias(key), text), rows, "doc_id long, n_shingles long, hi long, lo long, bands array<long>")
+    return by_batch(_texts(docs, key, text), rows, "doc_id long, hash long, n_shingles long, digest binary, bands array<long>")
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("hash"), F.col(f"`{text}`").alias("text"))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sets have a Jaccard similarity of at least percent hundredths."""
+    """Whether two sorted sets have a Jaccard similarity of at least percent hundredths."""
     if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
@@ -165,53 +173,122 @@ def forest(pairs: list[tuple[int, int]]) -> dict[int, int]:
     return {i: top(i) for i in up}
 
 
-def _verified(cells: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): links that join similar members of each cell, given (id, cell).
+def _sets(members: DataFrame, classes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(cid, rep, grams): the shingle hashes of every class that has members, once each."""
+    wanted = classes.join(redealt(members.select("cid").distinct(), "cid"), "cid").select("cid", "rep", F.col("hash").alias("rep hash"))
+    rows = texts.join(redealt(wanted, "rep", "rep hash"), (F.col("doc_id") == F.col("rep")) & (F.col("hash") == F.col("rep hash")))
+    schema = pa.schema([("cid", pa.int64()), ("rep", pa.int64()), ("grams", pa.binary())])
+
+    def gather(batches):
+        met = set()  # a row that is repeated is taken once in a task
+        for batch in task(batches):
+            fresh = [i for i, c in enumerate(batch.column("cid").to_pylist()) if c not in met and not met.add(c)]
+            if fresh:
+                part = batch.take(pa.array(fresh))
+                grams = [shingles(x, n).tobytes() for x in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("cid"), part.column("rep"), pa.array(grams, pa.binary())], schema=schema)
+
+    return written(rows.select("cid", "rep", "text").mapInArrow(gather, "cid long, rep long, grams binary").dropDuplicates(["cid"]), "sets")
+
+
+_LINKS = "a long, b long, rep_a long, rep_b long"
+
+
+def _links_batch(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ((),) * 4)], ["a", "b", "rep_a", "rep_b"])
+
+
+def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of buckets and the centres of these."""
+    centres = members.groupBy("bucket").agg(*(F.min_by("cid", F.xxhash64("cid", F.lit(k))).alias(f"centre {k}") for k in range(CENTRES)))
+    every = F.array_distinct(F.array(*(F.col(f"`centre {k}`") for k in range(CENTRES))))
+    met = members.join(redealt(centres, "bucket"), "bucket")
+    stars = met.select("cid", F.explode(F.when(F.col("many") > 2, every).otherwise(F.array(F.col("`centre 0`")))).alias("centre")).where("cid <> centre").distinct()
+    stars = written(stars, "stars")
+    sizes = stars.groupBy("centre").agg(F.ceil(F.count("*") / HUB).cast("int").alias("blocks"))
+    dealt = stars.join(redealt(sizes, "centre"), "centre").select("cid", "centre", F.pmod(F.xxhash64("cid"), "blocks").cast("int").alias("block"), F.lit(1).alias("place"))
+    heads = sizes.select(F.col("centre").alias("cid"), "centre", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("place"))
+    rows = dealt.unionByName(heads).join(redealt(sets, "cid"), "cid").repartition("centre", "block").sortWithinPartitions("centre", "block", "place")
+
+    def compare(batches):
+        now, head, rep = None, None, None
+        for batch in task(batches):
+            out = []
+            for centre, block, place, cid, own, grams in zip(*(batch.column(c).to_pylist() for c in ("centre", "block", "place", "cid", "rep", "grams")), strict=True):
+                found = np.frombuffer(grams, np.uint64)
+                if place == 0:
+                    now, head, rep = (centre, block), found, own
+                elif now != (centre, block):
+                    raise ValueError(f"the centre {centre} is missing")
+                elif similar(head, found, percent):
+                    out.append((cid, centre, own, rep))
+            yield _links_batch(out)
+
+    return written(rows.select("centre", "block", "place", "cid", "rep", "grams").mapInArrow(compare, _LINKS), "links")
+
+
+def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """(bucket, cid, own, minors, blocks) of buckets whose members are not all connected.
 
-    The members of a cell are dealt into blocks; every pair of blocks is one group of rows, which holds the texts of
-    both and compares all of their pairs.
+    Members outside the main group have the first blocks, those of the group the others.
     """
-    sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = cells.join(redealt(sizes, "cell"), "cell").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    rows = rows.join(texts, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("id", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text")
-    rows = rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "id")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    tagged = members.where("many > 2").join(redealt(joined, "id"), F.col("cid") == F.col("id"), "left").select("bucket", "cid", F.coalesce("component", "cid").alias("part"))
+    mains = tagged.groupBy("bucket").agg(F.min_by("part", F.xxhash64("cid")).alias("main"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket", "main")
+    rows = written(tagged.join(redealt(mains, "bucket"), "bucket").select("bucket", "cid", (F.col("part") != F.col("main")).alias("minor")), "open")
+    blocks = lambda which: F.ceil(F.count_if(which) / BLOCK).cast("int")
+    sizes = rows.groupBy("bucket").agg(blocks(F.col("minor")).alias("minors"), blocks(~F.col("minor")).alias("majors"))
+    dealt = rows.join(redealt(sizes, "bucket"), "bucket")
+    place = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
+    own = F.when(F.col("minor"), place("minors")).otherwise(F.col("minors") + place("majors"))
+    return dealt.select("bucket", "cid", own.alias("own"), "minors", F.when(F.col("minor"), F.col("minors") + F.col("majors")).otherwise(F.col("minors")).alias("partners"))
+
+
+def _block_links(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of open buckets of which at least one stands outside the main group."""
+    rows = opened.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("partners") - 1)))
+    rows = rows.select("cid", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(redealt(sets, "cid"), "cid")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cid")
 
     def compare(batches):
-        now, ids, sets = None, [], []
+        now, held, found = None, [], []
 
         def result():
-            found = forest(links(sets, percent))
-            return pa.RecordBatch.from_pydict({"a": [ids[i] for i in found], "b": [ids[i] for i in found.values()]}, schema=schema)
+            joined = forest(links([np.frombuffer(g, np.uint64) for _, _, g in held], percent))
+            return _links_batch([(held[i][0], held[k][0], held[i][1], held[k][1]) for i, k in joined.items()])
 
         for batch in task(batches):
-            for i, *group, text in zip(*(batch.column(c).to_pylist() for c in ("id", "cell", "i", "j", "text")), strict=True):
+            for *group, cid, rep, grams in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "cid", "rep", "grams")), strict=True):
                 if group != now:
-                    if len(ids) > 1:
+                    if len(held) > 1:
                         yield result()
-                    now, ids, sets = group, [], []
-                ids.append(i)
-                sets.append(shingles(text, n))
-        if len(ids) > 1:
+                    now, held = group, []
+                held.append((cid, rep, grams))
+        if len(held) > 1:
             yield result()
 
-    return rows.mapInArrow(compare, "a long, b long")
+    return rows.select("bucket", "i", "j", "cid", "rep", "grams").mapInArrow(compare, _LINKS)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     prepare(docs.sparkSession)
-    prints = saved(fingerprints(docs, n, key, text))
-    classes = saved(prints.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
-    buckets = classes.select("rep", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("many")).where("many > 1").select("bucket", "centre")
-    stars = buckets.join(redealt(shared, "bucket"), "bucket").where("rep <> centre").select("rep", "centre").distinct()
-    cells = components(stars, "rep", "centre").withColumnRenamed("component", "cell")
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    found = components(_verified(saved(cells), texts, n, percent))
-
-    owners = classes.select("hi", "lo", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("component"))
-    out = prints.drop("bands").join(redealt(owners, "hi", "lo"), ["hi", "lo"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    prints = written(fingerprints(docs, n, key, text), "prints")
+    named = prints.where("n_shingles > 0 and doc_id is not null")
+    grouped = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min_by("hash", "doc_id").alias("hash"), F.first("bands").alias("bands"))
+    classes = written(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    buckets = classes.select("cid", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1")
+    members = written(buckets.join(redealt(shared, "bucket"), "bucket"), "members")
+    sets = _sets(members, classes, _texts(docs, key, text), n)
+    stars = _star_links(members, sets, percent)
+    further = _block_links(_open(members, components(stars)), sets, percent)
+    # a doc_id whose rows have different sets joins the classes of these
+    several = named.groupBy("doc_id").agg(F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high")).where("low <> high").select("doc_id")
+    same = named.join(redealt(several, "doc_id"), "doc_id").select("doc_id", "digest").join(redealt(classes.select("digest", "rep"), "digest"), "digest").select("doc_id", "rep")
+    edges = stars.unionByName(further).select("rep_a", "rep_b").union(same)
+    found = components(edges, "rep_a", "rep_b")
+
+    owners = classes.select("digest", "rep").join(redealt(found.withColumnRenamed("id", "rep"), "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    rows = prints.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("digest"))).alias("own digest"))
+    out = rows.join(redealt(owners, "digest"), F.col("own digest") == F.col("digest"), "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -147,17 +147,39 @@ def test_near_duplicates_equal_brute_force(spark, n):
     expected = brute_components(rows, n, 80)
     for r in out:
         assert (r.n_shingles, r.component_id) == expected[r.doc_id] and r.kept == (r.doc_id == r.component_id)
+    assert sorted(map(tuple, out), key=str) == sorted(map(tuple, minhash.near_duplicates(frame(spark, rows).repartition(7), n).collect()), key=str)
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
-def test_large_cells_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 4)
+@pytest.mark.parametrize(("block", "hub", "centres"), [(4, 3, 1), (128, 256, 3)])
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch, block, hub, centres):
+    for name, value in (("BLOCK", block), ("HUB", hub), ("CENTRES", centres)):
+        monkeypatch.setattr(minhash, name, value)
     base = text(7, 6)
     rows = [(i, edited(base, i, 0.01 * (i % 9))) for i in range(40)]
     out = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, rows), 2).collect()}
     assert out == {i: c for i, (_, c) in brute_components(rows, 2, 80).items()}
 
 
+def test_chained_documents_link_where_they_are_similar(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    # each document shares half to nine tenths of its words with the next, so that buckets chain all of them
+    rows, at = [], 0
+    for i in range(400):
+        rows.append((i, " ".join(words[at % 3800 : at % 3800 + 60])))
+        at += rng.choice((3, 6, 14, 20))
+    out = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, rows), 2).collect()}
+    assert out == {i: c for i, (_, c) in brute_components(rows, 2, 80).items()} and 50 < len(set(out.values())) < 400
+
+
+def test_many_rows_of_one_document_and_rows_without_one(spark):
+    one = text(1)
+    rows = [(5, one)] * 20_000 + [(5, f"{text(2)} {i}") for i in range(300)] + [(3, text(2)), (9, one), (7, text(3)), (None, one), (None, one), (None, text(9))]
+    out = minhash.near_duplicates(frame(spark, rows)).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert {(r.doc_id, r.component_id, r.kept, r["count"]) for r in out} == {(5, 3, False, 20_300), (3, 3, True, 1), (9, 3, False, 1), (7, 7, True, 1), (None, None, True, 3)}
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 30), min_size=1), min_size=13, max_size=20))
 def test_links_of_many_equal_those_of_pairs(found):
