@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -78,6 +79,20 @@ def test_links_equal_brute_force(spark, monkeypatch, block):
     assert vectors.linked(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_a_vec_id_or_have_none(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(5, a), (5, b), (2, b), (3, a), (7, a), (7, a), (None, a), (None, a), (8, [0.0, 0.0, 1.0])]
+    out = sorted(map(tuple, vectors.linked(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()), key=str)
+    hi_lo = {tuple(v): tuple(np.frombuffer(xxhash.xxh3_128_digest(np.array(v).tobytes()), "<i8").tolist()) for v in (a, b)}
+    first = min((a, b), key=lambda v: hi_lo[tuple(v)])
+    alone = (5, 0, 5, True)
+    if first == a:
+        expected = [(5, 2, 3, False), alone, (2, 0, 2, True), (3, 2, 3, True), (7, 2, 3, False), (7, 2, 3, False)]
+    else:
+        expected = [alone, (5, 1, 2, False), (2, 1, 2, True), (3, 1, 3, True), (7, 1, 3, False), (7, 1, 3, False)]
+    assert out == sorted([*expected, (None, 0, None, True), (None, 0, None, True), (8, 0, 8, True)], key=str)
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(1)
     k, tables = vectors.plan(100_000, 0.95)
