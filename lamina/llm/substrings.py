@@ -10,11 +10,12 @@ stay (but for lines of the first level, which count towards the run).
 
 A token is a run without white space, in lower case; in scripts without blanks, and in runs of more than ``WIDE``
 characters, every character is a token, and ``LETTERS`` of them count as a word. A unit is the sequence of its tokens,
-hashed to 128 bits; lines and parts have digests of their own. Digests are grouped over all documents: the occurrence
+hashed to 96 bits; lines and parts have digests of their own. Digests are grouped over all documents: the occurrence
 of least rank (doc_id, offset) stays, all others are repeats. The result keeps the offsets, in characters of the
 original text, of what was removed, white space behind it included.
 
-Texts are read once for their units, which are written to the shared folder, and once more to take out the repeats.
+Texts are read once for their units, which are written to the shared folder, and once more, compressed for the way
+to their marks, to take out the repeats.
 
 Null texts stay null, and have no units, as have empty ones and those of white space. doc_id names a document: rows
 that repeat one rank alike, so what the least doc_id holds stays in all of its rows, and texts that differ under one
@@ -134,7 +135,7 @@ def _ends(hashes: np.ndarray, single: np.ndarray, line: np.ndarray) -> np.ndarra
 
 
 def units(texts: list[str]) -> dict[str, np.ndarray]:
-    """All units of some texts: the text's number; first and last part; span up to the next unit; words; line or part; digest; whether the text has it before."""
+    """All units of some texts: the text's number; span up to the next unit; words; line or part; digest; whether the text has it before."""
     begins = np.cumsum([0, *(len(x) + 1 for x in texts)])
     joined = lower("\n".join(texts))
     codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
@@ -158,7 +159,6 @@ def units(texts: list[str]) -> dict[str, np.ndarray]:
     stops = np.append(starts[heads[1:]], len(joined))
     last_of_text = np.append(text[1:] != text[:-1], True)
     stops[last_of_text] = begins[text[last_of_text] + 1] - 1  # white space at a text's end belongs to its last unit
-    before = np.searchsorted(text, text)  # parts of earlier texts
     data = memoryview(hashes.tobytes())
     part, of_line = range(len(heads)), zip(firsts.tolist(), lasts.tolist(), strict=True)
     edges = (bounds * 8).tolist()
@@ -171,10 +171,10 @@ def units(texts: list[str]) -> dict[str, np.ndarray]:
             again[i] = True
         else:
             seen.add(name)
-    pairs = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
+    pairs = np.frombuffer(b"".join(found), np.dtype([("hi", "<i8"), ("lo", "<i4"), ("rest", "<i4")]))
     return {
-        "text": owner, "first": first - before[first], "last": last - before[first], "start": starts[heads[first]] - begins[owner], "stop": stops[last] - begins[owner],
-        "words": np.maximum(1, (weight[bounds[last + 1]] - weight[bounds[first]]) // LETTERS), "line": np.arange(len(found)) >= len(heads), "hi": pairs[:, 0], "lo": pairs[:, 1], "again": again,
+        "text": owner, "start": starts[heads[first]] - begins[owner], "stop": stops[last] - begins[owner],
+        "words": np.maximum(1, (weight[bounds[last + 1]] - weight[bounds[first]]) // LETTERS), "line": np.arange(len(found)) >= len(heads), "hi": pairs["hi"].copy(), "lo": pairs["lo"].copy(), "again": again,
     }
 
 
@@ -191,9 +191,9 @@ def _groups(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 
 def unit_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, hash, place, span, words, line, hi, lo, again): every unit of every document.
+    """(doc_id, hash, span, weight, hi, lo, again): every unit of every document.
 
-    hash is that of the text; place holds the first and the last part, span the start and the end, 32 bits each.
+    hash is that of the text; span holds the start and the end, 32 bits each, weight twice the words, and one for lines.
     """
 
     def rows(batch):
@@ -202,38 +202,36 @@ def unit_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             if u := units(many):
                 own = pa.array(u["text"] + at)
                 yield {
-                    "doc_id": ids.take(own), "hash": hashes.take(own), "place": (u["first"] << 32) | u["last"], "span": (u["start"] << 32) | u["stop"],
-                    "words": u["words"], "line": u["line"], "hi": u["hi"].copy(), "lo": u["lo"].copy(), "again": u["again"],
+                    "doc_id": ids.take(own), "hash": hashes.take(own), "span": (u["start"] << 32) | u["stop"], "weight": pa.array(u["words"] * 2 + u["line"]).cast(pa.int32()),
+                    "hi": u["hi"], "lo": u["lo"], "again": u["again"],
                 }
 
     named = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("hash"), F.col(f"`{text}`").alias("text"))
-    return by_batch(named, rows, "doc_id long, hash long, place long, span long, words long, line boolean, hi long, lo long, again boolean")
+    return by_batch(named, rows, "doc_id long, hash long, span long, weight int, hi long, lo int, again boolean")
 
 
 def removed(marks: list, least_words: int) -> tuple[list[tuple[int, int]], int, int]:
-    """The spans that go, and the numbers of lines and of passages, from the marked units of a text: (place, span, words, line)."""
-    whole = {place >> 32: (place & 0xFFFFFFFF, span, n, True) for place, span, n, line in marks if line}
-    parts = {place >> 32: (place >> 32, span, n, False) for place, span, n, line in marks if not line}
+    """The spans that go, and the numbers of lines and of passages, from the marked units of a text: (span, weight).
+
+    Units follow each other if one begins where the other ends.
+    """
     runs: list[list] = []
-    at = -2
-    for a in sorted({*parts, *whole}):
-        if a > at:  # else a part of a line that goes
-            last, *unit = whole.get(a) or parts[a]
-            if a != at + 1:
+    at = -1
+    # of a line and its first part, the line comes first
+    for a, _, b, weight in sorted((span >> 32, -(weight & 1), span & 0xFFFFFFFF, weight) for span, weight in marks):
+        if a >= at:  # else a part of a line that goes
+            if a > at:
                 runs.append([])
-            runs[-1].append(unit)
-            at = last
+            runs[-1].append((a, b, weight >> 1, weight & 1))
+            at = b
     out, lines, passages = [], 0, 0
     for run in runs:
-        passage = sum(n for _, n, _ in run) >= least_words
+        passage = sum(words for _, _, words, _ in run) >= least_words
         passages += passage
-        for span, _, line in run:
+        for a, b, _, line in run:
             lines += line
             if line or passage:
-                a, b = span >> 32, span & 0xFFFFFFFF
-                if out and out[-1][1] == a:
-                    a = out.pop()[0]
-                out.append((a, b))
+                out.append((out.pop()[0] if out and out[-1][1] == a else a, b))
     return out, lines, passages
 
 
@@ -252,27 +250,33 @@ def drop_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, key: str = "do
     found = written(unit_table(docs, key, text), "units")
     fresh = found.where("not again and doc_id is not null")
     firsts = fresh.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("many")).where("many > 1").select("hi", "lo", "first")
-    facts = ("place", "span", "words", "line")
+    facts = ("span", "weight")
     repeats = fresh.join(redealt(firsts, "hi", "lo"), ["hi", "lo"]).where("doc_id <> first").select("doc_id", "hash", *facts)
     marked = repeats.unionByName(found.where("again").select("doc_id", "hash", *facts))
     marks = marked.groupBy(F.col("doc_id").alias("marked doc"), F.col("hash").alias("marked hash")).agg(F.collect_set(F.struct(*facts)).alias("marks"))
 
     new = ("n_lines", "n_passages", "removed_starts", "removed_ends")
 
+    @F.pandas_udf("binary")
+    def squeezed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for many in task(parts):
+            yield many.map(lambda x: None if x is None else pa.compress(x.encode(), "zstd", asbytes=True))
+
     @F.pandas_udf("text string, n_lines long, n_passages long, removed_starts array<long>, removed_ends array<long>")
-    def clean(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for many, marked in task(parts):
+    def clean(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for many, sizes, marked in task(parts):
             out = []
-            for x, own in zip(many, marked, strict=True):
-                gone, *counts = removed([(m["place"], m["span"], m["words"], m["line"]) for m in own], least_words) if x is not None and own is not None else ([], 0, 0)
+            for x, size, own in zip(many, sizes, marked, strict=True):
+                x = None if x is None else pa.decompress(x, int(size), "zstd", asbytes=True).decode()
+                gone, *counts = removed([(m["span"], m["weight"]) for m in own], least_words) if x is not None and own is not None else ([], 0, 0)
                 out.append((without(x, gone) if gone else x, *counts, [a for a, _ in gone], [b for _, b in gone]))
             yield pd.DataFrame(out, columns=["text", *new])
 
     # other columns travel in one, so that their names, whatever they are, meet none of those used here
     others = [c for c in docs.columns if c != text and c not in new]
-    packed = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.xxhash64(f"`{text}`").alias("own hash"), F.col(f"`{text}`").alias("body"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"))
+    packed = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.xxhash64(f"`{text}`").alias("own hash"), squeezed(F.col(f"`{text}`")).alias("body"), F.octet_length(f"`{text}`").alias("body size"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"))
     same = F.col("doc").eqNullSafe(F.col("marked doc")) & (F.col("own hash") == F.col("marked hash"))
     joined = packed.join(redealt(marks, "marked doc", "marked hash"), same, "left")
-    cleaned = joined.select("rest", clean(F.col("body"), F.col("marks")).alias("cleaned"))
+    cleaned = joined.select("rest", clean(F.col("body"), F.col("body size"), F.col("marks")).alias("cleaned"))
     own = [F.col("cleaned.text").alias(c) if c == text else F.col(f"rest.`{c}`") for c in docs.columns if c not in new]
     return cleaned.select(*own, *(F.col(f"cleaned.{c}").alias(c) for c in new))
