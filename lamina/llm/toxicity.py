@@ -2,22 +2,25 @@
 
 The kernel compares two words by the subsequences of three characters that they share, each within a span of five;
 a wider span weighs less, so a word with gaps or inserted characters stays near its plain form. It is divided by
-the norms that the words' features have if all are different, and its features are few enough to be written out, which gives every kernel value as one sparse product.
-
-The machine is trained on sentences. A sentence of a toxic document is positive if it holds a word that, itself or
-by its beginning, marks toxic documents of the sample and stands in no other document; sentences of other documents are negative. A sentence is
-seen through its most toxic word: words are chosen, landmarks picked among them, the machine is fitted in the
-landmarks' space, and words are chosen again by its scores, with the worst false alarms added as negatives. Frequent marks with one
-letter put in are positive too. The kernel alone gives few of these forms a margin that counts, so a word from which
-one inner letter can be left out to give a frequent insult has the margin of that insult, unless it stands in a clean
-document of the sample. A
-document's margin is the greatest of its sentences' margins; a logistic curve makes it a probability.
-
-Letters that are spelled out with blanks, dots, dashes, underscores or stars between them are read as one word too.
-
-Null and empty texts get the score of a margin below all others. Without labelled documents of both classes every
-score is the share of label 1, at most one half. Repeated rows get equal scores; an empty table gives an empty
-result. Only the column that is given is read.
+the norms of both words' features, which are few enough to be written out, so every kernel value is one sparse product.
+
+The machine is trained on sentences. A sentence of a toxic document is positive if it holds a word that, itself or by
+its beginning, marks toxic documents of the sample; words of other documents are negative, unless they are far more
+frequent in toxic ones. A sentence is seen through its most toxic word, as is a document: words are chosen, landmarks
+are picked among them, the machine is fitted in the landmarks' space, and words are chosen again by its scores, with
+all words of other documents that came near the margin added as negatives and the worst of them as landmarks. What
+the kernel tolerates is trained too: forms of frequent insults with a letter put in are positive, and some of them
+landmarks, so that no list of words or forms stands beside the machine. A document's margin is the greatest of its
+sentences' margins. A logistic curve makes it a probability: 0.7 where documents and forms are told apart best, with
+the slope of least log loss over the sample.
+
+Letters that are spelled out with blanks, dots, dashes, underscores or stars between them are read as one word too. A
+word wider than ``WIDEST`` is seen through windows of that width. An insult of ordinary words, and one with a blank
+inside, are not found.
+
+Null and empty texts get the score of a margin below all others; texts may have any length. Without labelled
+documents of both classes every score is the share of label 1, at most one half. Repeated rows get equal scores; an
+empty table gives an empty result. Only the column that is given is read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,26 +41,40 @@ from pyspark.sql import functions as F
 from .common import prepare, task, trim
 
 SPAN, DECAY = 5, 0.7
-LANDMARKS, NEGATIVES = 64, 12_000
-WIDEST = 40
-#: Letters of an insult that is looked for with a letter put in.
-SHORTEST = 4
-#: Rounds of fitting, and how much more a false alarm of the last round weighs for each unit of its margin.
-ROUNDS, ALARM = 4, 50.0
+#: Landmarks: a quarter words, a quarter forms of words, the others words that are not toxic.
+LANDMARKS, WIDEST = 384, 40
+#: Letters of an insult whose forms with a letter put in are trained, and letters that are put in at each place.
+SHORTEST, PUT_IN = 4, 8
+#: The share of toxic documents that an insult marks whose forms are trained.
+FREQUENT = 0.03
+#: The share of other documents that may quote an insult.
+QUOTED = 0.002
+#: The chance that any word that says nothing is taken for a mark.
+CHANCE = 0.01
+#: Toxic documents that a word must mark, in samples of many documents.
+SUPPORT = 3
+#: Rounds of fitting, the similarity to a landmark from which a word is a negative at once, and the margin from which it becomes one.
+ROUNDS, NEAR, ALARM = 6, 0.35, -0.7
+#: How much more a false alarm of the last round weighs for each unit of its margin, and what all forms weigh beside all words.
+DEAR, SHARE = 20.0, 1.0
+#: What a false alarm costs beside a toxic document that is missed.
+COST = 10.0
 #: Least eigenvalue of the landmarks' kernel that counts, and the weight of the squared norm in the machine's loss.
-FLOOR, RIDGE = 0.01, 3e-4
+FLOOR, RIDGE = 0.01, 1e-4
 _WAYS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
 _SPELLED = re.compile(r"(?<!\w)\w(?:[ .\-_*]\w){3,}(?!\w)")
 _SENTENCE = re.compile(r"[.!?]+\s+|\n+")
 #: Characters that stand for letters.
 _STANDS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"})
+_RUNS = re.compile(r"(.)\1{2,}")
 _ACCENTS = re.compile(r"[\u0300-\u036f]")
 _BELOW = -3.0
+FEATURES = 1 << 18
 
 
 def fold(token: str) -> str:
-    """A token's letters in lower case, without accents; digits and signs inside it stand for letters."""
-    token = token.lower().strip(string.punctuation)
+    """A token's letters in lower case, without accents; runs of one are one, digits and signs inside stand for letters."""
+    token = _RUNS.sub(r"\1", token.lower().strip(string.punctuation))
     if not token.isascii():
         token = _ACCENTS.sub("", unicodedata.normalize("NFKD", token))
     if token.isalpha():
@@ -72,57 +89,66 @@ def _codes(word: str) -> list[int]:
     return [27, *(ord(c) - 96 if "a" <= c <= "z" else 29 + zlib.crc32(c.encode()) % 35 for c in word), 28]
 
 
-def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
-    """For words grouped by length: (their places, feature numbers, weights of the columns, norm of the weights).
+def windows(word: str) -> list[str]:
+    """The word, or its parts of WIDEST characters that begin half as many apart, the last one at its end."""
+    if len(word) <= WIDEST:
+        return [word]
+    return [word[at : at + WIDEST] for at in (*range(0, len(word) - WIDEST, WIDEST // 2), len(word) - WIDEST)]
 
-    A word wider than WIDEST appears once for each window of that width, half a width apart.
-    """
+
+def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For words grouped by length: (their places, feature numbers, weights of the columns, norms of the words)."""
     groups: dict[int, tuple[list[int], list[list[int]]]] = {}
     for i, word in enumerate(words):
-        starts = range(0, len(word) - WIDEST, WIDEST // 2) if len(word) > WIDEST else ()
-        for at in (*starts, max(0, len(word) - WIDEST)):
-            codes = _codes(word[at : at + WIDEST])
-            places, rows = groups.setdefault(len(codes), ([], []))
-            places.append(i)
-            rows.append(codes)
+        codes = _codes(word)
+        places, rows = groups.setdefault(len(codes), ([], []))
+        places.append(i)
+        rows.append(codes)
     out = []
     for width, (places, rows) in groups.items():
         codes = np.array(rows, np.int32)
-        parts, weights = [], []
+        parts, weights = [np.zeros((len(rows), 1), np.int32)], [1e-6]
         for a, b, w in _WAYS:
             if width > b:
                 parts.append((codes[:, : width - b] << 12) | (codes[:, a : width - b + a] << 6) | codes[:, b:])
                 weights += [w] * (width - b)
-        if not parts:
-            out.append((np.array(places), np.zeros((len(rows), 1), np.int32), np.zeros(1, np.float32), 1.0))
-            continue
-        weight = np.array(weights, np.float32)
-        out.append((np.array(places), np.concatenate(parts, axis=1), weight, float(np.sqrt(weight @ weight))))
+        ids, weight = np.concatenate(parts, axis=1), np.array(weights, np.float32)
+        norms = np.full(len(rows), np.sqrt(weight @ weight))
+        ordered = np.sort(ids, axis=1)
+        for i in np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(axis=1)).tolist():  # a feature that repeats counts as one
+            _, same = np.unique(ids[i], return_inverse=True)
+            norms[i] = np.linalg.norm(np.bincount(same, weight))
+        out.append((np.array(places), ids, weight, norms.astype(np.float32)))
     return out
 
 
-def _table(word: str) -> np.ndarray:
-    """A word's normalised features."""
-    out = np.zeros(1 << 18, np.float32)
-    for _, ids, weight, norm in features([word[:WIDEST]]):
-        np.add.at(out, ids[0], weight / norm)
-    return out
+class Landmarks:
+    """Words written out as columns of features, and the kernel between them and others."""
 
+    def __init__(self, words: list[str]):
+        self.words = words
+        rows = [(np.repeat(places, ids.shape[1]), ids.ravel(), (weight / norms[:, None]).ravel()) for places, ids, weight, norms in features(words)]
+        owner, ids, weight = (np.concatenate(x) for x in zip(*rows, strict=True))
+        self.ids, place = np.unique(ids, return_inverse=True)
+        self.place = np.zeros(FEATURES, np.int32)
+        self.place[self.ids] = np.arange(1, len(self.ids) + 1)
+        self.columns = np.zeros((len(self.ids) + 1, len(words)), np.float32)
+        np.add.at(self.columns, (place + 1, owner), weight)
 
-def products(words: list[str], tables: list[np.ndarray]) -> np.ndarray:
-    """The normalised kernel between words and tables of features; the greatest over the windows of a word."""
-    out = np.full((len(words), len(tables)), -np.inf, np.float32)
-    whole = sum(WIDEST + 2 - b for _, b, _ in _WAYS)
-    for places, ids, weight, norm in features(words):
-        for a in range(0, len(places), 20_000):
-            part = slice(a, a + 20_000)
-            for j, table in enumerate(tables):
-                value = (table[ids[part]] @ weight) / norm
-                if ids.shape[1] < whole:
-                    out[places[part], j] = value
-                else:
-                    np.maximum.at(out[:, j], places[part], value)
-    return out
+    def products(self, words: list[str]) -> np.ndarray:
+        """The normalised kernel between words and all landmarks."""
+        out = np.zeros((len(words), len(self.words)), np.float32)
+        for places, ids, weight, norms in features(words):
+            for a in range(0, len(places), 1000):
+                own = self.place[ids[a : a + 1000]]
+                out[places[a : a + 1000]] = sum(self.columns[own[:, k]] * weight[k] for k in range(own.shape[1])) / norms[a : a + 1000, None]
+        return out
+
+    def table(self, coefficients: np.ndarray) -> np.ndarray:
+        """A weighted sum of landmarks, as features."""
+        out = np.zeros(FEATURES, np.float32)
+        out[self.ids] = self.columns[1:] @ coefficients.astype(np.float32)
+        return out
 
 
 def tokens(text: str) -> set[str]:
@@ -139,9 +165,6 @@ class Model:
     slope: float
     middle: float
     constant: float | None = None
-    #: Margins of insults that are found with a letter put in, and clean words that are such a form by chance.
-    plain: dict[str, float] = field(default_factory=dict)
-    spared: frozenset[str] = frozenset()
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -149,7 +172,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.middle), -30, 30)))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
+def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
     """The squared-hinge machine, by Newton steps; the last coordinate is the bias."""
     z, w = np.c_[z, np.ones(len(z))], np.zeros(z.shape[1] + 1)
     for _ in range(30):
@@ -180,21 +203,29 @@ def _distinct(words: list[set[str]]) -> list[int]:
 
 
 def _marks(found: list[set[str]], seen: dict[int, Counter], n: dict[int, int]) -> set[str]:
-    """Words and beginnings that mark toxic documents: frequent ones, and those that mark what others leave unmarked.
+    """Words and beginnings that stand in toxic documents more often than chance lets any of so many do.
 
-    Taking the latter in turn leaves out words that only stand beside marks.
+    The chance is bounded by that of a coin (Chernoff). Where a small sample proves none, those that mark most
+    documents are taken in turn, which leaves out words that only stand beside them.
     """
+    share, known = n[1] / (n[0] + n[1]), {b for own in found for b in own}
+
+    def proof(b: str) -> float:
+        k, q = seen[1][b] + seen[0][b], seen[1][b] / (seen[1][b] + seen[0][b])
+        return k * (q * np.log(q / share) + (1 - q) * np.log(max(1 - q, 1e-12) / (1 - share)))
+
     odds = lambda b: np.log((seen[1][b] + 0.5) / (n[1] + 1)) - np.log((seen[0][b] + 0.5) / (n[0] + 1))
-    rare = {b for own in found for b in own if odds(b) > np.log(8)}
-    out = {b for b in rare if seen[1][b] >= max(5, 0.02 * n[1])}
-    open_ = [own & rare for own in found if own.isdisjoint(out)]
-    while True:
+    rare = {b for b in known if odds(b) > np.log(8)}
+    out = {b for b in rare if proof(b) > np.log(len(known) / CHANCE)}
+    open_ = [] if out else [own & rare for own in found]
+    while open_:
         gain = Counter(b for own in open_ for b in own)
         best = max(gain, key=lambda b: (gain[b], len(b), b), default=None)
         if best is None or gain[best] < 3:
-            return out
+            break
         out.add(best)
         open_ = [own for own in open_ if best not in own]
+    return out
 
 
 def fit(rows: list[tuple[str, int]], share: float) -> Model:
@@ -205,9 +236,9 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
     folded: dict[str, str] = {}
     word_of = lambda token: folded[token] if token in folded else folded.setdefault(token, fold(token))
     words = [{w for t in tokens(text) if (w := word_of(t))} for text, _ in rows]
-    sentences = [{w for t in tokens(x) if (w := word_of(t))} for text, y in rows if y for x in _SENTENCE.split(text)]
-    folded.clear()
     single = _distinct(words)
+    sentences = [(i, {w for t in tokens(x) if (w := word_of(t))}) for i in single if rows[i][1] for x in _SENTENCE.split(rows[i][0])]
+    folded.clear()
     many = Counter(rows[i][1] for i in single)
     beginnings = lambda w: {w, *(w[:k] for k in (4, 5, 6) if len(w) > k)}
     toxic = [i for i in single if rows[i][1]]
@@ -217,91 +248,126 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
         if not rows[i][1]:
             seen[0].update({b for w in words[i] for b in beginnings(w) if b in seen[1]})
 
-    clean = Counter(w for own, (_, y) in zip(words, rows, strict=True) if not y for w in own)
+    used = {k: Counter(w for i in single if rows[i][1] == k for w in words[i]) for k in (0, 1)}
+    # a word that a few other documents quote may still be an insult
+    few = max(1, QUOTED * many[0])
+    clean = {w for w, k in used[0].items() if k > few or (used[1][w] + 0.5) * (many[0] + 1) <= 8 * (k + 0.5) * (many[1] + 1)}
+    clean |= {w for own, (_, y) in zip(words, rows, strict=True) if not y for w in own if w not in used[0]}
     marks = _marks([{b for w in words[i] if w not in clean for b in beginnings(w) if b in seen[1]} for i in toxic], seen, many)
-    suspect = {w for own, (_, y) in zip(words, rows, strict=True) if y for w in own if w not in clean and not marks.isdisjoint(beginnings(w))}
-    bags = [hit for own in sentences if (hit := own & suspect)]
+    # where a beginning is only somewhat more frequent in toxic documents, chance makes words with it look toxic
+    odds = lambda b: (seen[1][b] + 0.5) * (many[0] + 1) / ((seen[0][b] + 0.5) * (many[1] + 1))
+    open_ = {b for b in seen[1] if seen[0][b] > few and 1.5 < odds(b) <= 30}
+    usual = lambda w: any(b in open_ and seen[1][b] >= 1.5 * used[1][w] for b in beginnings(w))
+    suspect = {w for own, (_, y) in zip(words, rows, strict=True) if y for w in own if w not in clean and not marks.isdisjoint(beginnings(w)) and not usual(w)}
+    bags = [(i, hit) for i, own in sentences if (hit := own & suspect)]
     if not bags:
         return Model(np.zeros(1, np.float32), 0.0, 1.0, 0.0, min(share, 0.5))
-    chosen = Counter(w for hit in bags for w in hit)
-    by_hash = sorted(clean, key=lambda w: zlib.crc32(w.encode()))
-    negatives = [*dict.fromkeys([*(w for w, _ in clean.most_common(NEGATIVES // 3)), *by_hash[:NEGATIVES]])]
-    model, score = None, {}
+    least = min(SUPPORT, max(1, round(0.01 * many[1])))  # documents that a word must mark
+
+    def supported(picked: set[tuple[int, str]]) -> Counter:
+        n = Counter(w for _, w in picked)
+        return Counter({w: k for w, k in n.items() if k >= least}) or n
+
+    chosen = supported({(i, w) for i, hit in bags for w in hit})
+    others = sorted({x for w in clean for x in windows(w)})
+    model, negatives, hard, forms, score = None, set(), [], [], {}
     for _ in range(ROUNDS):
-        picked: list[str] = []
-        tables: list[np.ndarray] = []
-        for w, _ in sorted(chosen.items(), key=lambda x: (-x[1], x[0])):
-            if len(picked) < LANDMARKS * 3 // 4 and (not tables or products([w], tables).max() < 0.8):
-                picked.append(w)
-                tables.append(_table(w))
-        near = products(negatives, tables).max(axis=1)
-        for i in np.argsort(-near, kind="stable")[: LANDMARKS - len(picked)]:
-            picked.append(negatives[i])
-            tables.append(_table(negatives[i]))
-        values, vectors = np.linalg.eigh(products(picked, tables).astype(float))
+        positives = sorted({x for w in chosen for x in windows(w)})
+        frequent = sorted(w for w, k in chosen.items() if k >= max(3, FREQUENT * many[1]) and SHORTEST <= len(w) < WIDEST)
+        forms = sorted({g for w in frequent for g in _put_in(w)} - clean - set(chosen))
+        own = _apart([x for w, _ in sorted(chosen.items(), key=lambda x: (-x[1], x[0])) for x in windows(w)][: 2 * LANDMARKS], LANDMARKS // 4)
+        own += sorted(forms, key=lambda g: zlib.crc32(g.encode()))[: LANDMARKS // 4]
+        if not hard:
+            near = _in_parts(Landmarks(own).products, others, lambda x: x.max(axis=1))
+            hard = [others[i] for i in np.argsort(-near, kind="stable")[: LANDMARKS - len(own)]]
+            negatives = {others[i] for i in np.flatnonzero(near >= NEAR)} | set(hard)
+        marked = Landmarks([*dict.fromkeys(own + hard)])
+        values, vectors = np.linalg.eigh(marked.products(marked.words).astype(float))
         root = vectors[:, values > FLOOR] / np.sqrt(values[values > FLOOR])
-        positives = sorted(chosen)
-        frequent = [w for w, k in chosen.items() if k >= max(3, 0.01 * len(bags)) and len(w) >= 5]
-        gaps = sorted({g for w in frequent for g in _gapped(w)} - set(clean) - set(chosen))
-        z = products(positives + gaps + negatives, tables).astype(float) @ root
-        y = np.r_[np.ones(len(positives) + len(gaps)), -np.ones(len(negatives))]
-        weight = np.r_[np.array([np.sqrt(chosen[w]) for w in positives]), np.full(len(gaps), 0.5), np.array([1 + ALARM * max(0.0, score.get(w, -1.0) + 0.7) for w in negatives])]
-        weight[y > 0] /= weight[y > 0].sum()
-        weight[y < 0] /= weight[y < 0].sum()
-        w = _svm(z, y, weight)
-        model = Model(sum(np.float32(c) * t for c, t in zip(root @ w[:-1], tables, strict=True)), float(w[-1]), 1.0, 0.0)
-        score = dict(zip(every := sorted({x for own in words for x in own}), margins(model, every).tolist(), strict=True))
-        alarms = sorted((x for x in clean if score[x] > -0.7), key=lambda x: (-score[x], x))[:4000]
-        negatives = [*dict.fromkeys([*negatives, *alarms])]
-        chosen = Counter(max(hit, key=lambda x: (score[x], x)) for hit in bags)
+        against = sorted(negatives)
+        z = marked.products(positives + forms + against).astype(float) @ root
+        y = np.r_[np.ones(len(positives) + len(forms)), -np.ones(len(against))]
+        heavy = np.array([np.sqrt(chosen.get(w, 1)) for w in positives])
+        false = np.array([1 + DEAR * max(0.0, score.get(w, ALARM) - ALARM) for w in against])
+        weight = np.r_[heavy / heavy.sum(), np.full(len(forms), SHARE / max(1, len(forms))), false / false.sum()]
+        w = _svm(z, y, weight, RIDGE)
+        model = Model(marked.table(root @ w[:-1]), float(w[-1]), 1.0, 0.0)
+        value = margins(model, others)
+        alarms = np.flatnonzero(value > ALARM)
+        worst = [others[i] for i in alarms[np.argsort(-value[alarms], kind="stable")]]
+        score = dict(zip(worst, value[alarms[np.argsort(-value[alarms], kind="stable")]].tolist(), strict=True))
+        known = dict(zip(every := sorted({x for _, hit in bags for x in hit}), margins(model, every).tolist(), strict=True))
+        again = supported({(i, max(hit, key=lambda x: (known[x], x))) for i, hit in bags})
+        if again == chosen and negatives.issuperset(worst):
+            break
+        chosen, negatives = again, negatives.union(worst)
+        hard = [*dict.fromkeys(worst + hard)][: LANDMARKS - len(own)]
+    every = sorted({x for own in words for x in own})
+    score = dict(zip(every, margins(model, every).tolist(), strict=True))
     margin = np.array([max((score[x] for x in own), default=_BELOW) for own in words])
-    _calibrate(model, margin, np.array([y for _, y in rows]))
-    known = sorted(w for w, k in chosen.items() if k >= 3 and len(w) >= SHORTEST)
-    likely = model.probability(np.array([score[w] for w in known]))
-    plain = {w: score[w] for w, p in zip(known, likely, strict=True) if p >= 0.7}
-    spared = frozenset(w for w in clean if not plain.keys().isdisjoint(_shortened(w)))
-    model.plain, model.spared = plain, spared
-    del words, seen, sentences, score, tables
+    _calibrate(model, margin, np.array([y for _, y in rows]), margins(model, forms))
+    del words, seen, sentences, score, others
     trim()
     return model
 
 
-def _calibrate(model: Model, margin: np.ndarray, y: np.ndarray) -> None:
-    """Put probability 0.7 where toxic documents are told from others best, a false alarm counting three times.
+def _in_parts(products: Callable, words: list[str], reduce: Callable) -> np.ndarray:
+    """What is left of each word's products, for many words."""
+    return np.concatenate([reduce(products(words[i : i + 10_000])) for i in range(0, len(words), 10_000)] or [np.zeros(0)])
+
+
+def _apart(words: list[str], most: int) -> list[str]:
+    """The first words, of those that are not near copies of an earlier one."""
+    near, out = Landmarks(words).products(words), []
+    for i in range(len(words)):
+        if len(out) < most and (not out or near[i, out].max() < 0.8):
+            out.append(i)
+    return [words[i] for i in out]
 
-    Within the gap that tells them apart it lies nearer to the others, as words with gaps lie in between.
+
+def _calibrate(model: Model, margin: np.ndarray, y: np.ndarray, forms: np.ndarray) -> None:
+    """Put probability 0.7 where toxic documents and forms of insults are told from other documents best.
+
+    A false alarm counts ``COST`` times. Of equally good places that in the widest gap is taken, and there the middle.
     """
+    weight = np.where(y == 1, 1 / max(1, (y == 1).sum()), 1 / max(1, (y == 0).sum()))
+    margin, toxic = np.r_[margin, forms], np.r_[y == 1, np.ones(len(forms), bool)]
+    weight = np.r_[weight, np.full(len(forms), 1 / max(1, len(forms)))]
     order = np.argsort(margin, kind="stable")
-    margin, y = margin[order], y[order]
-    caught = 1 - np.r_[0, np.cumsum(y == 1)] / (y == 1).sum()
-    alarms = 1 - np.r_[0, np.cumsum(y == 0)] / (y == 0).sum()
-    bounds = np.r_[margin[0] - 1, margin, margin[-1] + 1]
+    at, hit, alarm = margin[order], (weight * toxic)[order], (weight * ~toxic)[order]
+    worth = -np.r_[0, np.cumsum(hit)] - COST * (alarm.sum() - np.r_[0, np.cumsum(alarm)])
+    bounds = np.r_[at[0] - 1, at, at[-1] + 1]
     gap = np.diff(bounds)
-    worth = np.where(gap > 1e-6, caught - 3 * alarms, -np.inf)
+    worth[gap < 1e-6] = -np.inf
     near = np.flatnonzero(worth >= worth.max() - 0.002)
     cut = near[gap[near].argmax()]
-    model.slope = 8.0
-    model.middle = float(bounds[cut] + 0.4 * gap[cut] - np.log(0.7 / 0.3) / model.slope)
+    bound = float(bounds[cut] + 0.5 * gap[cut])
 
+    def loss(slope: float) -> float:
+        logit = slope * (margin - bound) + np.log(0.7 / 0.3)
+        return float((weight * np.logaddexp(0, np.where(toxic, -logit, logit))).sum())
 
-def _gapped(word: str) -> list[str]:
-    """The word with one letter put in, at each of its inner places."""
-    letters = zlib.crc32(word.encode())
-    return [word[:i] + chr(97 + (letters >> i) % 26) + word[i:] for i in range(2, len(word) - 1)]
+    model.slope = float(min(np.geomspace(0.5, 16, 40), key=loss))
+    model.middle = bound - np.log(0.7 / 0.3) / model.slope
 
 
-def _shortened(word: str) -> list[str]:
-    """The word without one of its inner letters."""
-    return [word[:i] + word[i + 1 :] for i in range(1, len(word) - 1)]
+def _put_in(word: str) -> list[str]:
+    """The word with one letter put in, some letters at each of its inner places."""
+    out = []
+    for i in range(1, len(word)):
+        letters = sorted(string.ascii_lowercase, key=lambda c: zlib.crc32(f"{word} {i} {c}".encode()))
+        out += [word[:i] + c + word[i:] for c in letters[:PUT_IN]]
+    return out
 
 
 def margins(model: Model, words: list[str]) -> np.ndarray:
-    parts = [products(words[i : i + 20_000], [model.table])[:, 0] for i in range(0, len(words), 20_000)]
-    out = np.concatenate(parts) + model.bias if parts else np.zeros(0)
-    widths = {len(w) + 1 for w in model.plain}
-    for i, word in enumerate(words):
-        if len(word) in widths and word not in model.spared:
-            out[i] = max([out[i], *(model.plain[x] for x in _shortened(word) if x in model.plain)])
+    """The margin of each word: the greatest of its windows."""
+    out = np.full(len(words), -np.inf, np.float32)
+    for a in range(0, len(words), 20_000):
+        parts = [(i, x) for i, w in enumerate(words[a : a + 20_000], a) for x in windows(w)]
+        owner = np.array([i for i, _ in parts])
+        for places, ids, weight, norms in features([x for _, x in parts]):
+            np.maximum.at(out, owner[places], model.table[ids] @ weight / norms + model.bias)
     return out
 
 

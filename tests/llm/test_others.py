@@ -197,22 +197,37 @@ def test_toxicity_finds_plain_gapped_and_spelled_out_words(toxic_model):
     assert toxic_score(toxic_model, clean) < 0.7 and toxic_score(toxic_model, "") < 0.7
     for word in ("blockhead", "Nitwit!!", "SCOUNDREL", "bl0ckhead", "b l o c k h e a d", "n.i.t.w.i.t", "scound-rel", "blockkhead"):
         assert toxic_score(toxic_model, f"{clean} {word} {clean}") >= 0.7, word
-    others = [toxicity.fold(w) for t, y in toxic_rows() if not y for w in t.split()]
-    assert min(toxicity.margins(toxic_model, ["scounxdrel", "blocxkhead"])) > np.quantile(toxicity.margins(toxic_model, others), 0.98)
+
+
+def inserted(w):
+    return [w[:i] + c + w[i:] for i in range(1, len(w)) for c in string.ascii_lowercase]
 
 
 def test_toxicity_finds_insults_with_a_letter_put_in():
-    insults, rng, rows = ("clown", "stupid", "scoundrel"), random.Random(6), []
-    for i in range(240):
+    insults, rng, rows = ("clown", "stupid", "scoundrel", "nitwit", "worthless"), random.Random(6), []
+    for i in range(300):
         words = text(1000 + i, 9).split(" ")
         if i % 3 == 0:
             words.insert(rng.randrange(len(words)), rng.choice(insults))
-        rows.append((" ".join([*words, "closer", "stoupid" if i == 1 else ""]), int(i % 3 == 0)))
+        rows.append((" ".join([*words, "closer", "stupa", "brown", "tidings"]), int(i % 3 == 0)))
+    rows[1] = (rows[1][0] + " stupid", 0)  # a document that quotes an insult does not unlearn it
     model = toxicity.fit(rows, 1 / 3)
-    for w in insults:
-        forms = {w[:i] + c + w[i:] for i in range(1, len(w)) for c in string.ascii_lowercase} - {"stoupid"}
-        assert all(toxic_score(model, f) >= 0.7 for f in forms), w
-    assert toxic_score(model, "closer stoupid") < 0.7
+    for w in insults:  # by the kernel alone: the model holds no words
+        found = [toxic_score(model, f) >= 0.7 for f in inserted(w)]
+        assert toxic_score(model, w) >= 0.7 and np.mean(found) >= 0.95, (w, np.mean(found))
+    assert all(toxic_score(model, w) < 0.7 for w in ("closer", "stupa", "brown", "tidings"))
+    unseen = [toxicity.fold(w) for k in range(200) for w in text(90_000 + k, 9).split()]
+    assert (model.probability(toxicity.margins(model, unseen)) >= 0.7).mean() < 0.001
+
+
+def test_toxicity_of_the_tables_labels_finds_inserted_letters(spark):
+    d = "/root/testdata/sf0.1"
+    model = q.toxic_model(spark, d)
+    for w in ("idiot", "stupid", "moron", "disgusting", "trash", "clown", "loser", "pathetic", "worthless"):
+        assert (model.probability(toxicity.margins(model, inserted(w))) >= 0.7).mean() >= 0.9, w
+    labels, docs = spark.read.parquet(f"{d}/labels.parquet").where("toxic = 0"), spark.read.parquet(f"{d}/documents.parquet")
+    clean = docs.join(labels, "doc_id").select(toxicity.scorer(spark, model)("text").alias("s"))
+    assert clean.where("s >= 0.7").count() <= 0.001 * clean.count()
 
 
 def test_kernel_is_that_of_gapped_subsequences():
@@ -223,18 +238,25 @@ def test_kernel_is_that_of_gapped_subsequences():
                 for x, y, w in toxicity._WAYS:
                     if i + y < len(codes):
                         f = (codes[i], codes[i + x], codes[i + y])
-                        out.setdefault(f, []).append(w)
+                        out[f] = out.get(f, 0) + w
             return out
 
         fa, fb = features(a), features(b)
-        norm = lambda f: np.sqrt(sum(w * w for ws in f.values() for w in ws))
-        return sum(sum(fa[f]) * sum(fb[f]) for f in fa if f in fb) / norm(fa) / norm(fb)
-
-    for a, b in (("nitwit", "nitwit"), ("nitwit", "nixtwit"), ("banana", "bandana"), ("a", "ab")):
-        assert abs(toxicity.products([a], [toxicity._table(b)])[0, 0] - brute(a, b)) < 1e-5
-    assert toxicity.products([""], [toxicity._table("x")])[0, 0] == 0
-    wide = "q" * 50 + "nitwit" + "z" * 45
-    assert toxicity.products([wide], [toxicity._table("nitwit")])[0, 0] > 0.1
+        norm = lambda f: np.sqrt(sum(w * w for w in f.values()))
+        return sum(fa[f] * fb[f] for f in fa if f in fb) / norm(fa) / norm(fb)
+
+    for a, b in (("nitwit", "nitwit"), ("nitwit", "nixtwit"), ("banana", "bandana"), ("aaaaaa", "aaa"), ("a", "ab")):
+        assert abs(toxicity.Landmarks([b]).products([a])[0, 0] - brute(a, b)) < 1e-4
+    assert toxicity.Landmarks(["x"]).products([""])[0, 0] < 1e-3
+    wide = "qjxkvbzpgh" * 5 + "nitwit" + "zqxjkvbpmd" * 4
+    parts = toxicity.windows(wide)
+    assert all(len(x) == toxicity.WIDEST for x in parts) and any("nitwit" in x for x in parts) and parts[-1] == wide[-40:] and toxicity.windows("abc") == ["abc"]
+    one = toxicity.Landmarks(["nitwit"])
+    model = toxicity.Model(one.table(np.ones(1)), 0.0, 1.0, 0.0)
+    assert toxicity.margins(model, [wide, "nitwit"])[1] > 0.99 and toxicity.margins(model, [wide])[0] > 0.1
+    # what stands behind the first forty characters counts
+    assert toxicity.margins(model, [wide[:50] + "nitwit"])[0] > toxicity.margins(model, [wide[:56].replace("nitwit", "qjxkvb")])[0] + 0.1
+    assert toxicity.fold("Niiiiitwit!!") == "nitwit"
 
 
 def test_toxicity_on_awkward_rows(spark, toxic_model):
