@@ -6,11 +6,14 @@ table, contracts the leftmost pair of least rank of each word, and goes on with
 word's rows at its last step are its tokens. Decoding joins token rows with the vocabulary and concatenates
 their bytes in order of position.
 
-One step contracts one pair of a word, so words of more than ``LONG`` bytes would take steps by the thousand;
-those are contracted with a heap instead, to the same result.
-
-Null and empty texts have no tokens. Rows are independent of each other: repeated rows give repeated results,
-an empty table an empty one; columns other than the two that are named are not read.
+The recursion keeps the rows of every step, as many as the square of a word's length, so words go into queries by
+the sum of these squares, which bounds memory; nothing is spilled. One step contracts one pair of a word. Pieces of
+more than ``LONG`` bytes without a blank would take steps by the thousand, each over the whole piece; these are
+contracted with a heap instead, to the same result. Long token lists are decoded in slices.
+
+Null and empty texts have no tokens; texts may have any length. Rows are independent of each other: repeated rows,
+and rows without a key, give results alike; ties of rank go to the leftmost pair, as the method says; an empty table
+gives an empty one; columns other than the two that are named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,9 @@ from pyspark.sql import DataFrame
 
 from .common import at_end, by_batch, texts
 
-LONG = 256
+LONG = 512
+#: Rows that a query may hold: of all steps of its words, and of the tokens that it decodes.
+STEP_ROWS, TOKEN_ROWS = 3_000_000, 400_000
 #: Pieces that a worker remembers; it forgets them all beyond that.
 REMEMBERED = 400_000
 
@@ -62,7 +67,7 @@ class Codec:
         self.known: dict[str, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)])
         merges = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t)) if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         pairs = np.array(merges, dtype=np.int64).reshape(-1, 3)
         self._table("merges", pair=(pairs[:, 0] << 32) + pairs[:, 1], rank=pairs[:, 2].copy())
         # DuckDB concatenates text, not blobs: a byte stands as the character of its number
@@ -110,8 +115,18 @@ class Codec:
                 self.known[piece] = np.array(self._by_heap(data), dtype="<u4").tobytes()
             else:
                 words.append((piece, data))
-        if not words:
-            return
+        held, rows = [], 0
+        for word in words:
+            steps = len(word[1]) ** 2 // 2 + 1
+            if held and rows + steps > STEP_ROWS:
+                self._contract(held)
+                held, rows = [], 0
+            held.append(word)
+            rows += steps
+        if held:
+            self._contract(held)
+
+    def _contract(self, words: list[tuple[str, bytes]]) -> None:
         lengths = np.array([len(b) for _, b in words])
         flat = np.frombuffer(b"".join(b for _, b in words), np.uint8)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -133,12 +148,14 @@ class Codec:
     def decode(self, encoded: list[bytes]) -> list[bytes]:
         """The bytes that token ids, given as by ``encode``, stand for."""
         ids = np.frombuffer(b"".join(encoded), dtype="<u4").astype(np.int64)
-        out = [b""] * len(encoded)
         doc = np.repeat(np.arange(len(encoded)), [len(x) // 4 for x in encoded])
-        found = self._query(_DECODE, "tokens", doc=doc, place=np.arange(len(ids)), id=ids)
-        for i, text in zip(found.column("doc").to_pylist(), found.column("text").to_pylist(), strict=True):
-            out[i] = text.encode("latin-1")
-        return out
+        out: list[list[bytes]] = [[] for _ in encoded]
+        for a in range(0, len(ids), TOKEN_ROWS):
+            part = slice(a, a + TOKEN_ROWS)
+            found = self._query(_DECODE, "tokens", doc=doc[part], place=np.arange(len(ids))[part], id=ids[part])
+            for i, text in zip(found.column("doc").to_pylist(), found.column("text").to_pylist(), strict=True):
+                out[i].append(text.encode("latin-1"))
+        return [b"".join(x) for x in out]
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}

@@ -67,6 +67,15 @@ def test_bpe_both_ways_agree(reference, t):
             assert codec._by_heap(piece.encode()) == reference.encode_ordinary(piece)
 
 
+def test_bpe_in_small_queries(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "STEP_ROWS", 500)
+    monkeypatch.setattr(bpe, "TOKEN_ROWS", 7)
+    rng, codec = random.Random(2), bpe.Codec(RANKS, P.PATTERN)
+    many = [text(i, 6) + " " + "".join(rng.choices("abcdefgh", k=n)) for i, n in enumerate((3, 40, 255, 256, 257, 511, 512, 513, 700))]
+    encoded = codec.encode(many)
+    assert encoded == [np.array(reference.encode_ordinary(t), "<u4").tobytes() for t in many] and codec.decode(encoded) == [t.encode() for t in many]
+
+
 def test_bpe_query(spark, reference):
     d = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
