@@ -14,19 +14,23 @@ PER_CLASS, LONGEST = 1500, 20_000
 def sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, per_class: int = PER_CLASS, longest: int = LONGEST) -> tuple[list[tuple[str, int]], float]:
     """([(text, label)], share of label 1) of labelled documents outside the held-out fold.
 
-    The documents of a class are those of least hash of doc_id; a document labelled twice counts with the greater
-    label, rows without doc_id or label not at all. The share is that of all labels outside the fold.
+    A document labelled twice counts with the greater label, rows without doc_id or label not at all. The documents
+    of a class are, of those that are not too long, those of least hash of doc_id; of rows that repeat a doc_id, the
+    text of least hash. The share is that of all labels outside the fold.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     own = labels.where(~held_out & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label")).where("label in (0, 1)")
     counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
     if not counts:
         return [], 0.0
-    picked = [r for k in (0, 1) for r in own.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
-    chosen = F.broadcast(spark.createDataFrame([(r["doc_id"], r["label"]) for r in picked], "doc_id long, label int"))  # at most two classes of per_class rows
-    rows = docs.select("doc_id", "text").where(F.length(F.coalesce("text", F.lit(""))) <= longest).join(chosen, "doc_id").collect()
+    short = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= longest)
+    # identifiers and hashes first, as texts travel far: a row for each document, then the first ones of each class
+    names = short.select("doc_id", F.xxhash64("text").alias("mark")).groupBy("doc_id").agg(F.min("mark").alias("mark")).join(own, "doc_id")
+    picked = [r for k in (0, 1) for r in names.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
+    chosen = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["mark"], r["label"]) for r in picked], "doc_id long, mark long, label int"))  # at most two classes of per_class rows
+    rows = short.withColumn("mark", F.xxhash64("text")).join(chosen, ["doc_id", "mark"]).dropDuplicates(["doc_id"]).collect()
     # the order of rows must not matter to what is fitted
-    rows = sorted({(r["doc_id"], r["text"] or "", r["label"]) for r in rows}, key=lambda r: (hash((r[0], 1)) & 0xFFFF, r))
+    rows = sorted(((r["doc_id"], r["text"], r["label"]) for r in rows), key=lambda r: (hash((r[0], 1)) & 0xFFFF, r))
     return [(text, y) for _, text, y in rows], counts.get(1, 0) / sum(counts.values())
 
 

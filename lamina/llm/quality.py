@@ -7,9 +7,10 @@ index vectors of its neighbours over the sample, both of unit length. A document
 vectors. A network of one hidden layer, trained with numpy, gives a logit; a temperature fitted on a part of the
 sample that the network did not see, and the share of label 1, make it a calibrated probability.
 
-Null and empty texts are documents of mean zero. Without labelled documents of both classes every score is the
-share of label 1. Repeated rows get equal scores; an empty table gives an empty result. Only the column
-that is given is read.
+Null and empty texts are documents of mean zero; texts and runs without blanks may have any length, and count as a
+whole. Without labelled documents of both classes every score is the share of label 1. Repeated rows get equal
+scores, and words of equal counts are taken by name; an empty table gives an empty result. Only the column that is
+given is read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -28,14 +29,24 @@ from pyspark.sql import functions as F
 from .common import prepare, task
 
 DIM, NONZERO, WINDOW = 96, 6, 2
+#: Characters of a word at most; what has no blanks is many words.
+WIDE = 64
 FREQUENT, HIDDEN, EPOCHS = 5000, 32, 300
 _RUN = re.compile(r"(.)\1+")
 
 
 def shape(token: str) -> str:
     """What a token looks like: letters as A or a, digits as 0, signs as they are, runs as one character."""
-    marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token[:64])
-    return "\0" + _RUN.sub(r"\1", marks)[:16]
+    marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
+    return "\0" + _RUN.sub(r"\1", marks)
+
+
+def words(text: str) -> list[str]:
+    """The runs without white space of a text; one of more than WIDE characters is a word for each WIDE of them."""
+    out = text.split()
+    if max(map(len, out), default=0) <= WIDE:
+        return out
+    return [w[i : i + WIDE] for w in out for i in range(0, len(w), WIDE)]
 
 
 @dataclass
@@ -82,12 +93,12 @@ def numbered(many: list[str], rows: Rows) -> tuple[np.ndarray, np.ndarray]:
     own: list[int] = []
     lengths = []
     for text in many:
-        words = text.split()
-        lengths.append(len(words))
-        if words:
-            places = [rows[w] for w in words]
+        found = words(text)
+        lengths.append(len(found))
+        if found:
+            places = [rows[w] for w in found]
             own.append(places[0][0])
-            own += [p[w is v or w == v] for p, w, v in zip(places[1:], words[1:], words, strict=False)]
+            own += [p[w is v or w == v] for p, w, v in zip(places[1:], found[1:], found, strict=False)]
     return np.array(own, np.int64), np.array(lengths)
 
 
@@ -108,14 +119,14 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _word_vectors(many: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    words, shapes = Counter(), Counter()
+    plain, shapes = Counter(), Counter()
     for text in many:
-        found = text.split()
-        words.update(w.lower() for w in found if w.islower() or w.istitle())
+        found = words(text)
+        plain.update(w.lower() for w in found if w.islower() or w.istitle())
         shapes.update(shape(w) for w in found)
-    common = [w for w, n in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT] if n > 4]
+    common = [w for w, n in sorted(plain.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT] if n > 4]
     forms = [w for w, n in sorted(shapes.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT] if n > 2]
-    words.clear()
+    plain.clear()
     names = ["\0?", "\0=?", *common, *forms, *("\0=" + f for f in forms)]
     rows = {n: i for i, n in enumerate(dict.fromkeys(names))}
     index = np.stack([_index(n) for n in rows])

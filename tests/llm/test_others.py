@@ -284,6 +284,15 @@ def test_quality_is_calibrated_and_learns(spark):
     out = frame(spark, awkward(), True).select(quality.scorer(spark, model)("text").alias("s")).collect()
     assert len(out) == len(awkward()) and all(0 <= r.s <= 1 for r in out)
     assert np.allclose(quality.probabilities(quality.fit([("a", 1)], 0.4), ["a", ""]), 0.4)
+    assert frame(spark, []).select(quality.scorer(spark, model)("text")).count() == 0
+
+
+def test_all_of_a_token_counts():
+    assert quality.shape("a" * 64 + "!!!") != quality.shape("a" * 64 + "999") and quality.shape("aB1-" * 9) != quality.shape("aB1-" * 8)
+    assert quality.words("ab " + "x" * 130) == ["ab", "x" * 64, "x" * 64, "xx"]
+    model = quality.fit(quality_rows(), 0.8)
+    tokens = ["%" * 64, "%" * 64 + "a" * 63 + "1", "%" * 6400 + "a" * 63 + "1"]  # what stands behind the first characters counts
+    assert len({round(float(p), 12) for p in quality.probabilities(model, tokens)}) == 3
 
 
 def test_samples_leave_out_the_fold(spark):
@@ -296,6 +305,10 @@ def test_samples_leave_out_the_fold(spark):
     few, _ = labelled.sample(docs, labels, "toxic", held, per_class=3)
     assert few == labelled.sample(docs.repartition(5), labels.repartition(3), "toxic", held, per_class=3)[0] and len(few) <= 6
     assert labelled.sample(docs, labels.limit(0), "toxic", held) == ([], 0.0)
+    # long documents are left out before the least hashes are taken, and a document of many rows counts once
+    long = docs.unionByName(spark.range(7, 30).selectExpr("id as doc_id", "repeat('x', 500) as text")).unionByName(spark.range(5000).selectExpr("1L as doc_id", "'text 1' as text"))
+    rows, _ = labelled.sample(long, labels, "toxic", held, per_class=12, longest=100)
+    assert len(rows) == 24 and all(len(t) < 100 for t, _ in rows) and sum(t == "text 1" for t, _ in rows) <= 1
 
 
 @pytest.mark.parametrize(("name", "label", "modulus", "fold", "least"), [("op1_quality", "quality", 5, 0, 0.9), ("op8_toxicity", "toxic", 3, 1, 0.85)])
