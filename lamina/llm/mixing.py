@@ -7,38 +7,54 @@ along the null space of the constraints (documents taken, words taken) until one
 when a source has one block left, its last two undecided documents are landed by giving up the document count
 first and the word count last. Larger documents come first, so that what is landed is small.
 
-Blocks hold about ``BLOCK`` documents by a hash of doc_id, whatever the size of the source. Draws are seeded by
-source, level and block, and documents are ordered by size and doc_id, so reruns agree.
-
-A null text has size 0, a null source is a source of its own, ranked last. A source without words has target 0.
-Repeated rows are drawn one by one. An empty table gives an empty result. Other columns are not read.
+Blocks hold about ``BLOCK`` documents by a hash of doc_id, whatever the size of the source. Rows that repeat a
+document are counted first and dealt in chunks of at most ``CHUNK``, so a document of many rows is spread over blocks
+like others. Draws are seeded by source, level and block, and documents are ordered by size and a hash of doc_id, so
+reruns agree. Sources stay in a table, whatever their number.
+
+A null text has size 0, a null source is a source of its own, ranked last; a null doc_id names a document like any
+other. A source without words has target 0. Texts may have any length. Repeated rows are drawn one by one. An empty
+table gives an empty result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from fractions import Fraction
+import math
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import prepare, saved, word_count
+from .graph import redealt
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
-BLOCK = 4096
-#: Sources are broadcast to the documents up to this number; beyond it they are joined.
-BROADCAST_SOURCES = 10_000
+BLOCK, CHUNK = 4096, 512
+
 
+def targets(sources: DataFrame) -> DataFrame:
+    """sources (source, source_size) with rank, weight and target: share of all by weight, none above most times its size.
 
-def targets(sizes: list[int], weights: list[int], share: float = SHARE, most: int = MOST) -> list[float]:
-    """Words for each source: share of all by weight, none above most times its size."""
-    level, left, weight = {}, Fraction(share) * sum(sizes), sum(weights)
-    for i in sorted(range(len(sizes)), key=lambda i: Fraction(most * sizes[i], weights[i])):
-        level[i] = min(Fraction(most * sizes[i]), left * weights[i] / weight)
-        left, weight = left - level[i], weight - weights[i]
-    return [float(level[i]) for i in range(len(sizes))]
+    In order of size by weight, sources stop at their bound until what is left, dealt by weight, keeps below the bound
+    of the next one; it is then dealt to that one and all behind it.
+    """
+    every = math.lcm(*WEIGHTS)
+    by_rank = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("rank") % len(WEIGHTS) + 1)
+    ranked = sources.withColumn("rank", F.row_number().over(W.orderBy(F.col("source").isNull(), "source")) - 1).withColumn("weight", by_rank(WEIGHTS))
+    order = W.orderBy("by weight", "rank")
+    before, behind = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(0, W.unboundedFollowing)
+    ranked = ranked.withColumn("by weight", F.col("source_size") * by_rank([every // w for w in WEIGHTS]))
+    total = F.sum("source_size").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    left = F.lit(SHARE) * total - MOST * F.coalesce(F.sum("source_size").over(before), F.lit(0))
+    filled = ranked.withColumn("left", left).withColumn("weights", F.sum("weight").over(behind))
+    free = MOST * F.col("source_size") * F.col("weights") >= F.col("left") * F.col("weight")
+    first = F.first(F.when(free, F.struct("left", "weights")), ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
+    dealt = filled.withColumn("dealt", first)
+    target = F.when(F.col("dealt").isNull(), MOST * F.col("source_size")).otherwise(F.col("dealt.left") * F.col("weight") / F.col("dealt.weights"))
+    return dealt.withColumn("target", target.cast("double")).drop("by weight", "left", "weights", "dealt")
 
 
 def flight(chance: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
@@ -83,36 +99,37 @@ def flight(chance: np.ndarray, size: np.ndarray, rng: np.random.Generator, land:
     return p
 
 
-def _level(rows: DataFrame, level: int, land: bool) -> DataFrame:
-    """One flight in every block of every source."""
+def _level(rows: DataFrame, names: list[str], level: int, land: bool) -> DataFrame:
+    """One flight in every block of every source; rows of several documents become one for each."""
 
     def fly(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["size", "order", "doc_id"], ascending=[False, True, True], ignore_index=True)
+        group = group.sort_values(["size", "order", *names], ascending=[False, *[True] * (1 + len(names))], ignore_index=True)
+        group = group.loc[group.index.repeat(group["many"])].assign(many=1).reset_index(drop=True)
         rng = np.random.default_rng([level, int(key[0]), int(key[1])])
         return group.assign(chance=flight(group.chance.to_numpy(), group["size"].to_numpy(), rng, land))
 
     return saved(rows.groupBy("rank", "block").applyInPandas(fly, rows.schema))
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", with_source: bool = False) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) for every row of docs; with_source adds the source."""
-    spark = prepare(docs.sparkSession)
-    sized = saved(docs.select(F.col(key).cast("long").cast("string").alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")))
-    # one row for each source: the mixture is a list of them
-    found = sorted(sized.groupBy("source").agg(F.sum("size"), F.count("*")).collect(), key=lambda r: (r[0] is None, r[0] or ""))
-    sizes = [int(r[1]) for r in found]
-    aims = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))])
-    rows = []
-    for rank, (r, size, aim) in enumerate(zip(found, sizes, aims, strict=True)):
-        rate = min(aim / size, float(MOST)) if size else 0.0
-        rows.append((r[0], rank, size, aim, int(rate), rate - int(rate), -(-int(r[2]) // BLOCK)))
-    plan = spark.createDataFrame(rows, "name string, rank int, source_size long, target double, copies int, chance double, blocks int")
-    joined = sized.join(F.broadcast(plan) if len(rows) <= BROADCAST_SOURCES else plan, sized.source.eqNullSafe(plan.name)).drop("source", "name")
-    # identifiers travel as text: pandas has no integers beside nulls
-    order = F.xxhash64("doc_id", "size")
-    now, level, blocks, done = joined.withColumn("order", order), 0, max([1, *(r[-1] for r in rows)]), []
+def drawn(sized: DataFrame, names: list[str]) -> DataFrame:
+    """(names, size, source_size, target, copies) for every row of sized (names, source, size).
+
+    names must hold no numbers with nulls, as these travel through pandas.
+    """
+    prepare(sized.sparkSession)
+    crowds = saved(sized.groupBy(*names, "source", "size").agg(F.count("*").alias("n")))
+    sources = crowds.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(MOST)))).otherwise(0.0)
+    plan = targets(sources).withColumn("rate", rate).withColumn("copies", F.floor("rate").cast("int")).withColumn("chance", F.col("rate") - F.col("copies"))
+    plan = saved(plan.select(F.col("source").alias("its source"), "rank", "source_size", "target", "copies", "chance", "blocks"))
+    chunk = min(CHUNK, BLOCK)
+    dealt = crowds.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / chunk).cast("int")))).withColumn("many", F.least(F.col("n") - F.col("chunk") * chunk, F.lit(chunk)).cast("int"))
+    now = dealt.join(redealt(plan, "its source"), F.col("source").eqNullSafe(F.col("its source"))).drop("source", "its source", "n")
+    now = now.withColumn("order", F.xxhash64(*names, "size")).withColumnRenamed("chunk", "block")
+    blocks, level, done = plan.agg(F.max("blocks")).first()[0] or 1, 0, []
     while True:
-        now = _level(now.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(level)), "blocks").cast("int")), level, blocks == 1)
+        # the chunk, and later the block that a document comes from, tell apart rows that repeat it
+        now = _level(now.withColumn("block", F.pmod(F.xxhash64(*names, "block", F.lit(level)), "blocks").cast("int")), names, level, blocks == 1)
         if blocks == 1:
             done.append(now)
             break
@@ -123,9 +140,12 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    copies = F.col("copies") + F.col("chance").cast("int")
-    if with_source:
-        names = spark.createDataFrame([(x[1], x[0]) for x in rows], "rank int, source string")
-        out = out.join(F.broadcast(names) if len(rows) <= BROADCAST_SOURCES else names, "rank")
-    more = ["source"] if with_source else []
-    return out.select(*more, F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return out.select(*names, "size", "source_size", "target", (F.col("copies") + F.col("chance").cast("int")).alias("copies"))
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """(doc_id, size, source_size, target, copies, taken) for every row of docs."""
+    # identifiers travel as text: pandas has no integers beside nulls
+    sized = docs.select(F.col(f"`{key}`").cast("long").cast("string").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), word_count(F.col(f"`{text}`")).alias("size"))
+    out = drawn(sized, ["doc_id"])
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))

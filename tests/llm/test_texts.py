@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -16,6 +17,7 @@ import tiktoken
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lamina.llm import attribution, bpe, media, minhash, mixing, substrings
 from lamina.llm import queries as q
@@ -426,10 +428,23 @@ def brute_targets(sizes, weights):
     return out
 
 
-@given(st.lists(st.integers(0, 1000), min_size=1, max_size=12))
-def test_targets_are_reshared_by_weight(sizes):
-    weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
-    assert np.allclose(mixing.targets(sizes, weights), brute_targets(sizes, weights), atol=1e-6)
+def test_targets_are_reshared_by_weight(spark):
+    rng = random.Random(7)
+    for sizes in ([5], [0, 0], [10, 1000, 10], *([rng.randrange(10 ** rng.randrange(1, 7)) for _ in range(rng.randrange(1, 30))] for _ in range(12))):
+        df = spark.createDataFrame([(f"s{i:03}", n) for i, n in enumerate(sizes)], "source string, source_size long")
+        found = [r.target for r in mixing.targets(df).orderBy("rank").collect()]
+        assert np.allclose(found, brute_targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))]), rtol=1e-12), sizes
+    names = [r.source for r in mixing.targets(spark.createDataFrame([(x, 1) for x in ("b", None, "Z", "\U0001f600", "\uffee", "")], "source string, source_size long")).orderBy("rank").collect()]
+    assert names == ["", "Z", "b", "\uffee", "\U0001f600", None]
+
+
+def test_many_rows_of_one_document_are_spread(spark):
+    rows = [(7, "a b c", "s")] * 30_000 + [(None, "a b", "s")] * 9_000 + [(i, "w " * (i % 50), "tu"[i % 2]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    began = time.time()
+    out = mixing.mixed(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows")).collect()
+    assert time.time() - began < 120 and sum(r["rows"] for r in out) == len(rows)
+    assert all(abs(r.taken - r.target) <= 60 for r in out)
 
 
 @settings(max_examples=30, deadline=None)
