@@ -11,8 +11,9 @@ boundary belongs to one section by an explicit rule:
 A token inside a character (a byte of several) has the span of that character. Fields are sections too:
 ``field_spans`` gives them for fields that were put together with a separator, which belongs to the field before.
 
-Null and empty texts have no tokens and no sections. Rows are independent of each other: repeated rows give
-repeated results, an empty table an empty one; columns other than the two that are named are not read.
+Null and empty texts have no tokens and no sections; texts may have any length. Rows are independent of each other:
+repeated rows, and rows without a key, give results alike, an empty table an empty one; columns other than the two
+that are named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -47,7 +48,11 @@ at_end(_encoding.cache_clear)
 
 def line_starts(text: str) -> list[int]:
     """Where each line begins; a line ends behind its line feed."""
-    return [0, *(i + 1 for i, c in enumerate(text[:-1]) if c == "\n")] if text else []
+    out, at = [0] if text else [], text.find("\n")
+    while 0 <= at < len(text) - 1:
+        out.append(at + 1)
+        at = text.find("\n", at + 1)
+    return out
 
 
 def field_spans(fields: list[str], separator: str = "\n") -> tuple[str, list[int]]:

@@ -6,11 +6,12 @@ area and their CRC-32 behind them. An ID3v2.3 tag with a CRC-checked extended he
 seek table stand before the frames, an ID3v1 tag behind them.
 
 ``parse`` reads any MPEG audio stream (versions 1, 2 and 2.5, layers I to III): it skips tags, finds frame
-headers again after damage, reads Xing, Info and VBRI tables, verifies CRC-16 words, and gives exact durations
-and the offset of every frame.
+headers again after damage, reads Xing, Info and VBRI tables, verifies the CRC-16 words of frames of all three layers,
+and gives exact durations and the offset of every frame.
 
-Null and empty texts are one unit of padding. Equal texts give equal columns; a repeated row gives a repeated
-result; an empty table gives an empty one; columns other than the two that are named are not read.
+Null and empty texts are one unit of padding; texts may have any length, and so may streams. Equal texts give equal
+columns; a repeated row, and one without a key, gives a result of its own; an empty table gives an empty one; columns
+other than the two that are named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ BITRATES = {
     (False, 2): (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160),
     (False, 3): (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160),
 }
+#: Layer II: the number of subbands whose allocation has 4, 3 and 2 bits, by table.
+ALLOCATED = {"a": (11, 12, 4), "b": (11, 12, 7), "c": (2, 6, 0), "d": (2, 10, 0), "low": (4, 7, 19)}
 RATES = {3: (44100, 48000, 32000), 2: (22050, 24000, 16000), 0: (11025, 12000, 8000)}
 
 
@@ -48,6 +51,10 @@ class Header:
     samples: int
     length: int
     side: int
+    channels: int
+    #: Subbands from which on both channels share their allocation.
+    bound: int
+    kbits: int
 
 
 @lru_cache(4096)
@@ -63,22 +70,56 @@ def header(word: bytes) -> Header | None:
     bits, padding = BITRATES[first, layer][kbits] * 1000, word[2] >> 1 & 1
     samples = 384 if layer == 1 else 1152 if layer == 2 or first else 576
     length = (12 * bits // rate + padding) * 4 if layer == 1 else samples // 8 * bits // rate + padding
-    mono = word[3] >> 6 == 3
+    mono, joint = word[3] >> 6 == 3, word[3] >> 6 == 1
     side = 0 if layer < 3 else (17 if mono else 32) if first else (9 if mono else 17)
-    return Header(version, layer, not word[1] & 1, rate, samples, length, side)
+    return Header(version, layer, not word[1] & 1, rate, samples, length, side, 1 if mono else 2, 4 * (word[3] >> 4 & 3) + 4 if joint else 32, bits // 1000)
 
 
 @lru_cache(4096)
-def crc16(data: bytes) -> int:
-    """The standard's frame check: polynomial 0x8005, all ones at first."""
-    crc = 0xFFFF
+def crc16(data: bytes, bits: int | None = None) -> int:
+    """The standard's frame check over the first bits, or all: polynomial 0x8005, all ones at first."""
+    crc, left = 0xFFFF, 8 * len(data) if bits is None else bits
     for byte in data:
-        crc ^= byte << 8
-        for _ in range(8):
+        crc ^= byte << 8 & (0xFFFF << max(0, 16 - left))
+        for _ in range(min(8, max(0, left))):
             crc = (crc << 1 ^ 0x8005 if crc & 0x8000 else crc << 1) & 0xFFFF
+        left -= 8
     return crc
 
 
+def _allocations(head: Header) -> list[int]:
+    """Layer II: the width of each subband's allocation."""
+    each = head.kbits // head.channels
+    if head.version != 3:
+        table = "low"
+    elif each <= 48:
+        table = "d" if head.rate == 32000 else "c"
+    else:
+        table = "a" if head.rate == 48000 or each <= 80 else "b"
+    return [width for width, n in zip((4, 3, 2), ALLOCATED[table], strict=True) for _ in range(n)]
+
+
+def protected_bits(head: Header, body: bytes) -> int:
+    """How many bits behind the checksum it covers: allocations, in layer II also the selection of scale factors, in layer III the side part."""
+    if head.layer == 3:
+        return 8 * head.side
+    widths = [4] * 32 if head.layer == 1 else _allocations(head)
+    value, size, at, used = int.from_bytes(body, "big"), 8 * len(body), 0, 0
+    for band, width in enumerate(widths):
+        for _ in range(head.channels if band < head.bound else 1):
+            at += width
+            if at <= size and value >> (size - at) & ((1 << width) - 1):
+                used += 1 if band < head.bound else head.channels
+    return at + 2 * used if head.layer == 2 else at
+
+
+def holds(data: bytes, at: int, head: Header) -> bool:
+    """Whether the checksum of the frame at an offset is right."""
+    body = data[at + 6 : at + 6 + max(head.side, 64)]
+    bits = 16 + protected_bits(head, body)
+    return data[at + 4 : at + 6] == struct.pack(">H", crc16(data[at + 2 : at + 4] + body[: -(-bits // 8) - 2], bits))
+
+
 #: MPEG-2 Layer III at 16 kHz, mono: 144 kbit/s with a checksum, and 32 kbit/s without one for the table.
 DATA, TABLE = bytes((0xFF, 0xF2, 0xD8, 0xC0)), bytes((0xFF, 0xF3, 0x48, 0xC0))
 SIDE = bytes(9)
@@ -181,9 +222,9 @@ def parse(data: bytes) -> Stream:
         # a frame is one if it ends the stream, if another of its kind follows, or if one of its kind has just ended
         follows = head and after <= end and (after == end or (not lost and kind == before) or ((x := header(data[after : after + 4])) and (x.version, x.layer, x.rate) == kind))
         if follows:
-            if head.protected and head.layer == 3:
+            if head.protected:
                 out.checked += 1
-                out.failed += data[at + 4 : at + 6] != struct.pack(">H", crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + head.side]))
+                out.failed += not holds(data, at, head)
             if not out.offsets and not out.table and (table := _read_table(data, at, head)):
                 out.table = table
             else:

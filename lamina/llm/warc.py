@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, task
+from .common import prepare, shared_folder, task
 from .graph import redealt
 
 CHUNK = 64 << 10
@@ -187,8 +186,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
-    """Archives of the pages in the shared checkpoint folder, and what reading them gives."""
-    spark = prepare(pages.sparkSession)
-    path = f"{spark.sparkContext.getCheckpointDir()}/warc-{uuid.uuid4().hex}"
+    """Archives of the pages in the shared checkpoint folder, which go with the driver, and what reading them gives."""
+    spark = pages.sparkSession
+    path = f"{shared_folder(spark, 'warc')}/records"
     write_archives(pages, path, **options)
     return read_archives(spark, path)

@@ -377,7 +377,7 @@ def test_media_round_trip(spark):
         assert r.samples == len(body) and r.sample_rate == 16000 and len(r.seek_offsets) == len(body) // 576
         assert r.media_sha256 == sha(media.encode(data))
     assert len({r.feature for r in out if r.doc_id in (1, 6)}) == 1
-    assert media.media_column(frame(spark, [])).count() == 0
+    assert media.media_column(frame(spark, [])).count() == 0 and media.media_features(media.media_column(frame(spark, []))).count() == 0
 
 
 def test_parser_resynchronises_and_checks():
@@ -410,6 +410,51 @@ def test_parser_reads_other_streams():
     assert media.header(b"\xff\xff\xff\xff") is None and media.header(b"\xff\xe8\x90\x00") is None
 
 
+def divided(bits):
+    """The remainder of a string of bits, by long division."""
+    register = [1] * 16
+    for b in bits:
+        out = register.pop(0) ^ b
+        register.append(0)
+        if out:
+            for i in (0, 13, 15):
+                register[i] ^= 1
+    return int("".join(map(str, register)), 2)
+
+
+def bits_of(data):
+    return [b >> (7 - i) & 1 for b in data for i in range(8)]
+
+
+@pytest.mark.parametrize(("start", "size", "widths", "channels", "bound", "layer"), [
+    ("fffc8400", 384, [4] * 11 + [3] * 12 + [2] * 4, 2, 32, 2),  # 128 kbit/s, 48 kHz, stereo
+    ("fffca0c0", 626, [4] * 11 + [3] * 12 + [2] * 7, 1, 32, 2),  # 192 kbit/s, 44.1 kHz, mono
+    ("fffc1040", 104, [4] * 2 + [3] * 6, 2, 4, 2),  # 32 kbit/s, 44.1 kHz, joint stereo from band 4
+    ("fffc2840", 216, [4] * 2 + [3] * 10, 2, 4, 2),  # 48 kbit/s, 32 kHz, joint stereo
+    ("fff48400", 384, [4] * 4 + [3] * 7 + [2] * 19, 2, 32, 2),  # MPEG-2, 64 kbit/s, 24 kHz
+    ("fffe4400", 128, [4] * 32, 2, 32, 1),  # layer I, 128 kbit/s, 48 kHz
+    ("fffe4460", 128, [4] * 32, 2, 12, 1),  # joint stereo from band 12
+])
+def test_checksums_of_layers_one_and_two(start, size, widths, channels, bound, layer):
+    rng, lead = random.Random(start), bytes.fromhex(start)
+    frames = []
+    for _ in range(4):
+        body = bytearray(rng.randrange(256) if rng.random() < 0.6 else 0 for _ in range(size - 6))
+        flat, at, chosen = bits_of(body), 0, 0
+        for band, width in enumerate(widths):
+            shared = band >= bound
+            for _ in range(1 if shared else channels):
+                chosen += (channels if shared else 1) * any(flat[at : at + width])
+                at += width
+        covered = at + (2 * chosen if layer == 2 else 0)
+        frames.append(lead + divided(bits_of(lead[2:]) + flat[:covered]).to_bytes(2, "big") + bytes(body))
+    found = media.parse(b"".join(frames))
+    assert (len(found.offsets), found.checked, found.failed, found.skipped) == (4, 4, 0, 0)
+    frames[1] = frames[1][:4] + bytes(2) + frames[1][6:]
+    frames[2] = frames[2][:6] + bytes([frames[2][6] ^ 0x10]) + frames[2][7:]
+    assert media.parse(b"".join(frames)).failed == 2
+
+
 # mixing ------------------------------------------------------------------------------------------------------------
 
 
