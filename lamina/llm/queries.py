@@ -69,4 +69,42 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_minhash, op3_token_counts, op4_substring_dedup, op5_media_columns, op6_warc_chunks, op7_byte_bpe, op8_toxicity, op9_embedding_dedup, op10_mixing)}
-ORACLE_SQL: dict[str, str] = {}
+
+#: Least identifiers that links reach, from (a, b) in both directions.
+_PARTS = """reach AS (SELECT a AS id, b AS r FROM linked UNION SELECT reach.id, linked.b FROM reach JOIN linked ON reach.r = linked.a),
+parts AS (SELECT id, min(r) AS least FROM reach GROUP BY id)"""
+
+#: SQL for DuckDB, on whole tables. It expresses no models, draws, token merges, media streams or parts of lines; tests
+#: hold these against brute force, round trips or held-out labels.
+ORACLE_SQL: dict[str, str] = {
+    "op2_minhash": rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS grams FROM words),
+sized AS (SELECT doc_id, len(grams) AS n, grams FROM sets),
+each_gram AS (SELECT doc_id, n, unnest(grams) AS gram FROM sized),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS both_have FROM each_gram x JOIN each_gram y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b FROM shared WHERE 100 * both_have >= 80 * (na + nb - both_have)),
+linked AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+{_PARTS}
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(least, doc_id)) AS kept
+FROM sized LEFT JOIN parts ON id = doc_id""",
+    "op6_warc_chunks": """
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+hashed AS (SELECT page_id, octet_length(encode(body)) AS size, sha1(body) AS h, min(page_id) OVER (PARTITION BY sha1(body)) AS first FROM bodies),
+base32 AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || h[5 * i + 1 : 5 * i + 5] AS BIGINT)) AS numbers FROM hashed)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((numbers[i // 4 + 1] >> (5 * (3 - i % 4))) & 31) + 1]), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM base32""",
+    "op9_embedding_dedup": rf"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v) WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+linked AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+counted AS (SELECT a, count(*) AS n FROM linked GROUP BY a),
+{_PARTS}
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN counted ON a = vec_id LEFT JOIN parts ON id = vec_id""",
+}

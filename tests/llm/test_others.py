@@ -7,6 +7,7 @@ import string
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -323,6 +324,22 @@ def test_held_out_accuracy(spark, name, label, modulus, fold, least):
     assert np.mean([r.predicted == r[label] for r in held]) >= least
 
 
+# SQL ---------------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(q.ORACLE_SQL))
+def test_queries_equal_their_sql(spark, name):
+    d = "/root/testdata/sf0.01"
+    db = duckdb.connect()
+    for table in ("documents", "embeddings", "pages"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{d}/{table}.parquet'")
+    said = db.sql(q.ORACLE_SQL[name])
+    columns = sorted(said.columns)
+    out = q.QUERIES[name](spark, d)
+    assert sorted(out.columns) == columns
+    assert sorted(map(tuple, out.select(columns).collect()), key=str) == sorted(said.select(", ".join(columns)).fetchall(), key=str)
+
+
 # pipeline ----------------------------------------------------------------------------------------------------------
 
 
