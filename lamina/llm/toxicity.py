@@ -96,8 +96,8 @@ def windows(word: str) -> list[str]:
     return [word[at : at + WIDEST] for at in (*range(0, len(word) - WIDEST, WIDEST // 2), len(word) - WIDEST)]
 
 
-def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For words grouped by length: (their places, feature numbers, weights of the columns, norms of the words)."""
+def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+    """For words grouped by length: (their places, feature numbers, weights of the columns, norm of the weights)."""
     groups: dict[int, tuple[list[int], list[list[int]]]] = {}
     for i, word in enumerate(words):
         codes = _codes(word)
@@ -112,13 +112,17 @@ def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray,
             if width > b:
                 parts.append((codes[:, : width - b] << 12) | (codes[:, a : width - b + a] << 6) | codes[:, b:])
                 weights += [w] * (width - b)
-        ids, weight = np.concatenate(parts, axis=1), np.array(weights, np.float32)
-        norms = np.full(len(rows), np.sqrt(weight @ weight))
-        ordered = np.sort(ids, axis=1)
-        for i in np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(axis=1)).tolist():  # a feature that repeats counts as one
-            _, same = np.unique(ids[i], return_inverse=True)
-            norms[i] = np.linalg.norm(np.bincount(same, weight))
-        out.append((np.array(places), ids, weight, norms.astype(np.float32)))
+        weight = np.array(weights, np.float32)
+        out.append((np.array(places), np.concatenate(parts, axis=1), weight, float(np.sqrt(weight @ weight))))
+    return out
+
+
+def norms(ids: np.ndarray, weight: np.ndarray, norm: float) -> np.ndarray:
+    """The norm of each word's features, of which those that repeat count as one: never less than that of the weights."""
+    out, ordered = np.full(len(ids), norm, np.float32), np.sort(ids, axis=1)
+    for i in np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(axis=1)).tolist():
+        _, same = np.unique(ids[i], return_inverse=True)
+        out[i] = np.linalg.norm(np.bincount(same, weight))
     return out
 
 
@@ -127,7 +131,7 @@ class Landmarks:
 
     def __init__(self, words: list[str]):
         self.words = words
-        rows = [(np.repeat(places, ids.shape[1]), ids.ravel(), (weight / norms[:, None]).ravel()) for places, ids, weight, norms in features(words)]
+        rows = [(np.repeat(places, ids.shape[1]), ids.ravel(), (weight / norms(ids, weight, norm)[:, None]).ravel()) for places, ids, weight, norm in features(words)]
         owner, ids, weight = (np.concatenate(x) for x in zip(*rows, strict=True))
         self.ids, place = np.unique(ids, return_inverse=True)
         self.place = np.zeros(FEATURES, np.int32)
@@ -138,10 +142,11 @@ class Landmarks:
     def products(self, words: list[str]) -> np.ndarray:
         """The normalised kernel between words and all landmarks."""
         out = np.zeros((len(words), len(self.words)), np.float32)
-        for places, ids, weight, norms in features(words):
+        for places, ids, weight, norm in features(words):
+            size = norms(ids, weight, norm)
             for a in range(0, len(places), 1000):
                 own = self.place[ids[a : a + 1000]]
-                out[places[a : a + 1000]] = sum(self.columns[own[:, k]] * weight[k] for k in range(own.shape[1])) / norms[a : a + 1000, None]
+                out[places[a : a + 1000]] = sum(self.columns[own[:, k]] * weight[k] for k in range(own.shape[1])) / size[a : a + 1000, None]
         return out
 
     def table(self, coefficients: np.ndarray) -> np.ndarray:
@@ -361,13 +366,26 @@ def _put_in(word: str) -> list[str]:
 
 
 def margins(model: Model, words: list[str]) -> np.ndarray:
-    """The margin of each word: the greatest of its windows."""
+    """The margin of each word: the greatest of its windows.
+
+    Where a bound from above, the norm of the weights for that of the features, is below ALARM, the bound is given.
+    """
     out = np.full(len(words), -np.inf, np.float32)
-    for a in range(0, len(words), 20_000):
-        parts = [(i, x) for i, w in enumerate(words[a : a + 20_000], a) for x in windows(w)]
-        owner = np.array([i for i, _ in parts])
-        for places, ids, weight, norms in features([x for _, x in parts]):
-            np.maximum.at(out, owner[places], model.table[ids] @ weight / norms + model.bias)
+    for a in range(0, len(words), 5_000):
+        part = words[a : a + 5_000]
+        wide = [(a + i, x) for i, w in enumerate(part) if len(w) > WIDEST for x in windows(w)]
+        narrow = [(a + i, w) for i, w in enumerate(part) if len(w) <= WIDEST]
+        for items in (narrow, wide):
+            owner = np.array([i for i, _ in items], np.int64)
+            for places, ids, weight, norm in features([x for _, x in items]):
+                value = model.table[ids] @ weight / norm + model.bias
+                close = np.flatnonzero(value > max(ALARM, model.bias))
+                if len(close):
+                    value[close] = (value[close] - model.bias) * norm / norms(ids[close], weight, norm) + model.bias
+                if items is narrow:
+                    out[owner[places]] = value
+                else:
+                    np.maximum.at(out, owner[places], value)
     return out
 
 
