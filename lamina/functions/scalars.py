@@ -6,23 +6,24 @@ import hashlib
 import re
 from datetime import UTC, datetime
 
+#: Words for flags in configurations.
 TRUE, FALSE = {"1", "true", "yes", "y", "on"}, {"0", "false", "no", "n", "off"}
 
 
 def flag(value: object, default: bool | None = None) -> bool:
-    """A flag from what a configuration holds."""
-    if isinstance(value, bool):
-        return value
-    text = "" if value is None else str(value).strip().lower()
-    if text in TRUE or text in FALSE:
-        return text in TRUE
-    if not text and default is not None:
-        return default
-    raise ValueError(f"not a flag: {value!r}")
-
-
-def instant(text: str) -> datetime:
-    """An ISO date or instant; without a zone it is in UTC."""
+    """A flag from what a configuration holds; the default, if there is one, for what says neither."""
+    word = str(value).strip().lower()
+    if word in TRUE | FALSE:
+        return word in TRUE
+    if default is None:
+        raise ValueError(f"not a flag: {value!r}")
+    return default
+
+
+def instant(text: str | None) -> datetime | None:
+    """An ISO date or instant; without a zone it is in UTC. None for a blank text."""
+    if not text or not text.strip():
+        return None
     found = datetime.fromisoformat(text.strip().replace("Z", "+00:00"))
     return found.replace(tzinfo=UTC) if found.tzinfo is None else found.astimezone(UTC)
 

@@ -115,8 +115,8 @@ def guard(said: dict | None, candidate: dict, table: Table, expected_hash: str |
     """("apply", "") for a batch that is to be applied, else ("skipped" or "failed", why); checked in this order."""
     if said is None:
         return "failed", "unreadable manifest"
-    if wrong := m.fault(said):
-        return "failed", wrong
+    if wrong := m.faults(said):
+        return "failed", "; ".join(wrong)
     if said["row_count"] == 0 and table.group != "snapshots":
         return "skipped", "empty batch"
     if expected_hash and said["schema_hash"] != expected_hash:

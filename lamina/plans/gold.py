@@ -70,14 +70,18 @@ def fct_deliveries_mart(ctx: Context, fact_delivery_tracking: DataFrame) -> Data
 
 
 @model("gold", "order_id int, store_id smallint, client_id int, order_date date, order_source_id smallint, total_amount decimal(12,4)", ["fact", "publish"], "order_date", "fct_orders_sales")
-def fct_orders_sales_mart(ctx: Context, fact_orders: DataFrame) -> DataFrame:
-    return fact_orders.where(ctx.window("order_date") & (F.col("latest_order_status_id") == DELIVERED))
+def fct_orders_sales_mart(ctx: Context, stg_orders: DataFrame, int_orders_latest_status: DataFrame) -> DataFrame:
+    """Of the columns of an order, those that it has in staging, without the joins and rollups of fact_orders."""
+    rows = lookup(stg_orders.where(ctx.window("order_date")), int_orders_latest_status, {"order_id": "order_id"}, ["latest_order_status_id"])
+    return rows.where(F.col("latest_order_status_id") == DELIVERED)
 
 
 @model("gold", "order_id int, product_id int, store_id smallint, order_date date, line_sales_amount decimal(14,4)", ["fact", "publish"])
-def fct_order_product(ctx: Context, fact_order_product: DataFrame, fact_orders: DataFrame) -> DataFrame:
-    sold = lookup(fact_order_product, fact_orders, {"order_id": "order_id"}, ["latest_order_status_id"])
-    return sold.where(F.col("latest_order_status_id") == DELIVERED)
+def fct_order_product(ctx: Context, fact_order_product: DataFrame, stg_orders: DataFrame, int_orders_latest_status: DataFrame) -> DataFrame:
+    """Lines of delivered orders that are known: their status comes from its own model, without the joins of fact_orders."""
+    delivered = int_orders_latest_status.where(F.col("latest_order_status_id") == DELIVERED).select("order_id")
+    known = delivered.join(stg_orders.select(F.col("order_id").alias("known")), F.col("order_id") == F.col("known"), "left_semi").withColumnRenamed("order_id", "sold")
+    return fact_order_product.join(known, F.col("order_id") == F.col("sold"), "left_semi")
 
 
 MARGIN = "order_id int, order_date date, client_id int, store_id smallint, total_amount decimal(12,4), product_cost_amount decimal(18,4), delivery_cost_amount decimal(18,4), gross_profit_amount decimal(18,4), gross_margin_pct decimal(10,4)"

@@ -91,8 +91,8 @@ def _described(storage: Storage, run: Run, table: Table, value: str, folder: str
         "source_extract": {"table": table.name, "partition_key": table.partition_key}, table.partition_key: value, **(extra or {}),
     }
     storage.write_json(f"{folder}/_manifest.json", said)
-    if wrong := m.fault(storage.read_json(f"{folder}/_manifest.json") or {}):
-        raise ValueError(f"the manifest of {folder} does not hold: {wrong}")
+    if wrong := m.faults(storage.read_json(f"{folder}/_manifest.json") or {}):
+        raise ValueError(f"the manifest of {folder} does not hold: {'; '.join(wrong)}")
     storage.write_text(f"{folder}/_SUCCESS", "")
     return said | {"path": folder}
 

@@ -216,6 +216,7 @@ def test_scalars():
     assert scalars.flag("Yes") and not scalars.flag("off") and scalars.flag("", True)
     with pytest.raises(ValueError):
         scalars.flag("maybe")
+    assert scalars.flag("maybe", True) and not scalars.flag(None, False) and scalars.flag(True) and scalars.instant(" ") is None and scalars.instant(None) is None
     assert scalars.instant("2024-01-02") == datetime(2024, 1, 2, tzinfo=UTC) == scalars.instant("2024-01-02T01:00:00+01:00")
     assert scalars.iso(scalars.instant("2024-01-02T00:00:00Z")) == "2024-01-02T00:00:00Z"
     assert scalars.safe_name("a b/c:1") == "a_b_c_1"

@@ -32,24 +32,26 @@ def good(**changes):
 
 @pytest.mark.parametrize("key", m.REQUIRED)
 def test_manifest_needs_every_key(key):
-    assert m.fault(good()) is None
-    assert m.fault(good(**{key: "gone"})) == f"missing {key}"
-    assert m.fault(good(**{key: None})) == f"null {key}"
+    assert m.faults(good()) == []
+    assert f"{key} has no value" in m.faults(good(**{key: "gone"})) and f"{key} has no value" in m.faults(good(**{key: None}))
 
 
 def test_manifest_faults():
     extract = {"snapshot_date": "gone", "batch_type": "incremental", "extract_date": "2024-01-01"}
     event = {"snapshot_date": "gone", "batch_type": "incremental", "event_date": "2024-01-01", "lookback_days": 2}
-    window = {"from": "a", "to": "b"}
-    cases = {
-        "invalid batch_type": good(batch_type="other"), "missing files": good(files=[]), "missing file.checksum": good(files=[{"path": 1, "size_bytes": 1, "row_count": 1}]),
-        "file_count mismatch": good(file_count=2), "checks not a list": good(checks={}), "manifest checks failed": good(checks=[{"status": "fail"}]),
-        "missing partition info": good(snapshot_date="gone"), "missing watermark": good(**extract), "missing watermark.to": good(**extract, watermark={"column": "c", "from": "f"}),
-        "missing window": good(**event), "missing event_dates_covered": good(**event, window=window),
-    }
-    for said, document in cases.items():
-        assert m.fault(document) == said
-    assert m.fault(good(**event, window=window, event_dates_covered=["d"])) is None
+    window, half = {"from": "a", "to": "b"}, {"from": "a"}
+    cases = [
+        (good(batch_type="other"), "neither"), (good(files=[]), "no files"), (good(files=[{"path": 1, "size_bytes": 1, "row_count": 1}]), "its checksum"), (good(files="x"), "no files"),
+        (good(file_count=2), "number of files"), (good(checks={}), "no list"), (good(checks=[{"status": "fail"}]), "producer"), (good(snapshot_date="gone"), "no partition"),
+        (good(**extract), "watermark"), (good(**extract, watermark={"column": "c", "from": "f"}), "watermark"), (good(**event, window=half, event_dates_covered=["d"]), "end of its window"),
+        (good(**event, window=window), "days it covers"),
+    ]
+    for document, said in cases:
+        found = m.faults(document)
+        assert len(found) == 1 and said in found[0], (said, found)
+    assert len(m.faults(good(**event))) == 2 and len(m.faults({})) == len(m.REQUIRED) + 1
+    assert m.faults(good(**extract, watermark={"column": "c", "from": "f", "to": "t"})) == []
+    assert m.faults(good(**event, window=window, event_dates_covered=["d"])) == []
 
 
 def test_guard_order():
@@ -151,7 +153,7 @@ def test_last_snapshot_of_a_day_counts(spark, tmp_path):
     assert tool.apply(run(base, "x", date(2024, 1, 2)), t) == {"skipped": 2, "applied": 1}
     assert [r.v for r in tool.table("stores").collect()] == ["r3"]
     empty = land(spark, frame("x").limit(0), run(base, "r4", date(2024, 1, 3)), t)[0]
-    assert empty["row_count"] == 0 and empty["files"] and m.fault(empty) is None
+    assert empty["row_count"] == 0 and empty["files"] and m.faults(empty) == []
 
 
 def test_failures_are_recorded_and_tried_again(spark, tmp_path):

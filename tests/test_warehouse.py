@@ -101,7 +101,7 @@ def test_window_pulls_touched_orders(tables):
 
 def test_selection_and_order():
     names = ordered()
-    assert names.index("stg_orders") < names.index("fact_orders") < names.index("fct_order_margin_mart")
+    assert names.index("stg_orders") < names.index("fct_orders_sales_mart") < names.index("fct_order_margin_mart")
     assert select(["gold"], excluded=["budget"]) and "budget_orders_sales" not in select(["gold"], excluded=["budget"])
     assert "dim_costing" in select(["mutable_dimension"]) and select(names=["fact_orders"]) == ["fact_orders"]
 
