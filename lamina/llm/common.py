@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 #: A word: a run of characters other than space and the ASCII control white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents per Arrow batch; with long texts the byte bound below ends a batch earlier.
-BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 500
+BATCH_BYTES = 4 << 20
+#: Bytes of a row group of an intermediate table.
+ROW_GROUP = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -67,7 +69,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written as Parquet to the shared folder: smaller than a checkpoint, and read by columns."""
     spark = df.sparkSession
     path = f"{shared_folder(spark, name)}/rows"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)  # writers hold a row group in memory
     return spark.read.parquet(path)
 
 

@@ -46,7 +46,7 @@ MOST = 24
 #: A longer token, and text in scripts without blanks, is taken by characters; so many of them count as a word.
 WIDE, LETTERS = 64, 2
 #: Characters whose units are found at a time; a longer text is taken alone.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 #: Scripts that are written without blanks, as ranges of code points.
 DENSE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -63,7 +63,7 @@ def _kinds() -> np.ndarray:
 
 _KIND = _kinds()
 #: Words whose hashes a task remembers.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 
 class Words(dict):

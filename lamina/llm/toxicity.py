@@ -389,8 +389,9 @@ def margins(model: Model, words: list[str]) -> np.ndarray:
     return out
 
 
-#: Tokens whose margins a task remembers; forgotten beyond the bound.
-REMEMBERED = 400_000
+#: Tokens whose margins a task remembers, forgotten beyond the bound, and documents that are cut into tokens at a time.
+SOME = 100
+REMEMBERED = 150_000
 
 
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
@@ -401,15 +402,17 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, known = shared.value, {}
         for many in task(parts):
-            if len(known) > REMEMBERED:
-                known.clear()
-            found = [tokens(x or "") for x in many]
-            if model.constant is None:
-                folded = {t: fold(t) for own in found for t in own if t not in known}
-                words = sorted({w for w in folded.values() if w})
-                margin = dict(zip(words, margins(model, words).tolist(), strict=True))
-                known.update((t, margin.get(w, _BELOW)) for t, w in folded.items())
-            greatest = np.array([max((known.get(t, _BELOW) for t in own), default=_BELOW) for own in found])
+            greatest = np.full(len(many), _BELOW)
+            for at in range(0, len(many), SOME):
+                if len(known) > REMEMBERED:
+                    known.clear()
+                found = [tokens(x or "") for x in many[at : at + SOME]]
+                if model.constant is None:
+                    folded = {t: fold(t) for own in found for t in own if t not in known}
+                    words = sorted({w for w in folded.values() if w})
+                    margin = dict(zip(words, margins(model, words).tolist(), strict=True))
+                    known.update((t, margin.get(w, _BELOW)) for t, w in folded.items())
+                greatest[at : at + SOME] = [max((known.get(t, _BELOW) for t in own), default=_BELOW) for own in found]
             yield pd.Series(model.probability(greatest))
 
     return score
