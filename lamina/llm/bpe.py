@@ -30,9 +30,9 @@ from .common import at_end, by_batch, texts
 
 LONG = 512
 #: Rows that a query may hold: of all steps of its words, and of the tokens that it decodes.
-STEP_ROWS, TOKEN_ROWS = 600_000, 100_000
+STEP_ROWS, TOKEN_ROWS = 3_000_000, 400_000
 #: Pieces that a worker remembers; it forgets them all beyond that.
-REMEMBERED = 150_000
+REMEMBERED = 500_000
 
 _STEPS = """
 WITH RECURSIVE walk(step, w, p, id) AS (
@@ -67,7 +67,7 @@ class Codec:
         self.known: dict[str, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)])
         merges = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t)) if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         pairs = np.array(merges, dtype=np.int64).reshape(-1, 3)
         self._table("merges", pair=(pairs[:, 0] << 32) + pairs[:, 1], rank=pairs[:, 2].copy())
         # DuckDB concatenates text, not blobs: a byte stands as the character of its number
