@@ -78,6 +78,11 @@ def fields(m: Model) -> list[tuple[str, str]]:
     return out
 
 
+def wide(kind: str) -> str:
+    """A type for a column's values of whatever size; decimals keep their scale."""
+    return f"decimal(38,{kind.rpartition(',')[2]}" if kind.startswith("decimal") else kind
+
+
 def select(tags: Iterable[str] = (), names: Iterable[str] = (), excluded: Iterable[str] = ()) -> list[str]:
     """Models that have one of the tags or names, without those excluded, in order of their inputs."""
     wanted, tags, out = {*names}, {*tags}, {*excluded}
@@ -128,6 +133,10 @@ class Build:
         """A model's own columns, in its declared types."""
         return self(name).select(*(F.col(c).cast(kind).alias(c) for c, kind in fields(MODELS[name])))
 
+    def values(self, name: str) -> DataFrame:
+        """A model's own columns by value: rounded as declared, not bounded by the width of the declared types."""
+        return self(name).select(*(F.col(c).cast(wide(kind)).alias(c) for c, kind in fields(MODELS[name])))
+
     def published(self, name: str) -> DataFrame:
         """A model's own columns with its run's lineage."""
         m = MODELS[name]

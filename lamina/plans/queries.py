@@ -70,7 +70,7 @@ def scratch(spark: SparkSession) -> str:
 
 
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: plain(Build(bronze(spark, sf_dir)).business(name))
+    return lambda spark, sf_dir: plain(Build(bronze(spark, sf_dir)).values(name))
 
 
 for _name in MODELS:
@@ -87,7 +87,7 @@ _WINDOWED = {
 
 
 def _daily(name: str) -> Query:
-    return lambda spark, sf_dir: plain(Build(bronze(spark, sf_dir), Context(logical_date=DAY)).business(name))
+    return lambda spark, sf_dir: plain(Build(bronze(spark, sf_dir), Context(logical_date=DAY)).values(name))
 
 
 for _name, _sql in _WINDOWED.items():
