@@ -79,8 +79,8 @@ def fields(m: Model) -> list[tuple[str, str]]:
 
 
 def wide(kind: str) -> str:
-    """A type for a column's values of whatever size; decimals keep their scale."""
-    return f"decimal(38,{kind.rpartition(',')[2]}" if kind.startswith("decimal") else kind
+    """A type for a column's values of whatever size; decimals keep their scale, and keys that come as int stay so."""
+    return f"decimal(38,{kind.rpartition(',')[2]}" if kind.startswith("decimal") else "int" if kind == "smallint" else kind
 
 
 def select(tags: Iterable[str] = (), names: Iterable[str] = (), excluded: Iterable[str] = ()) -> list[str]:

@@ -22,7 +22,7 @@ def folder(tmp_path, **tables):
 
 
 def test_wide_types_keep_the_scale():
-    assert [wide(k) for k in ("decimal(12,4)", "int", "string")] == ["decimal(38,4)", "int", "string"]
+    assert [wide(k) for k in ("decimal(12,4)", "smallint", "int", "string")] == ["decimal(38,4)", "int", "int", "string"]
 
 
 def test_budgets_above_a_hundred_million(spark, tmp_path):
@@ -33,3 +33,11 @@ def test_budgets_above_a_hundred_million(spark, tmp_path):
         orders = orders.set_column(at, orders.schema.field(at), pa.array(values, orders.schema.field(at).type))
     rows = queries()["budget_orders_sales"](spark, folder(tmp_path, orders=orders)).collect()
     assert sorted((r.store_id, r.orders_budget_daily, r.sales_amount_daily) for r in rows) == [(0, 2.0, 120_000_000.75), (1, 1.0, 7.0)]
+
+
+def test_couriers_above_the_small_integers(spark, tmp_path):
+    supplier = pq.read_table(f"{SMOKE_DIR}/supplier.parquet").slice(0, 3)
+    supplier = supplier.set_column(0, supplier.schema.field(0), pa.array([32_767, 32_768, 60_000], supplier.schema.field(0).type))
+    out = queries()["dim_resource_mart"](spark, folder(tmp_path, supplier=supplier))
+    assert out.schema["courier_id"].dataType.typeName() == "integer"
+    assert sorted((r.courier_id, r.courier_type) for r in out.collect()) == [(32_767, "Bicycle"), (32_768, "Car"), (60_000, "Unmounted")]
