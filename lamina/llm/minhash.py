@@ -9,8 +9,9 @@ the signature name buckets.
 Documents with equal sets are one class; only classes enter buckets. Links are found in two steps, neither of which
 hands on pairs that are not links. First every member of a bucket is compared with ``CENTRES`` members of it, which
 links large groups of copies by work in proportion to their size. Members of a bucket that are then connected need no
-further comparison; in the buckets whose members are not all connected, those outside the bucket's main group are
-compared with each other and with the group, by pairs of blocks: a large bucket is many small groups of rows.
+further comparison; in the buckets whose members are not all connected, those outside the bucket's largest group are
+compared with each other and with the group, by pairs of blocks: a large bucket is many small groups of rows. Buckets
+that are mostly one and the same group are taken as one.
 Comparison is exact, on the sets of the hashes of all shingles of the whole texts: a link needs a similarity of at
 least ``percent`` hundredths. What tasks exchange are these hashes, of classes that share a bucket.
 
@@ -38,8 +39,9 @@ BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
 #: Members that all others of a bucket are compared with, and members that one of them meets at a time.
 CENTRES, HUB = 3, 256
-#: Members of a block of a bucket, and shingles that are compared at a time.
-BLOCK, COLUMNS = 128, 4096
+#: Members of a block of a bucket, how many times wider blocks of large buckets get, and shingles and members that are
+#: compared at a time.
+BLOCK, WIDEST, COLUMNS, TILE = 128, 8, 4096, 512
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,15 +149,18 @@ def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     owner, token = owner[met], column[token[met]]
     order = np.argsort(token, kind="stable")
     owner, token = owner[order], token[order]
-    both = np.zeros((n, n), np.float32)
-    for at in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
-        a, b = np.searchsorted(token, (at, at + COLUMNS))
-        part = np.zeros((n, COLUMNS), np.float32)
-        part[owner[a:b], token[a:b] - at] = 1
-        both += part @ part.T
-    both = both.astype(np.int64)
-    i, j = np.nonzero(np.triu(100 * both >= percent * (sizes[:, None] + sizes[None, :] - both), 1))
-    return [*zip(i.tolist(), j.tolist(), strict=True)]
+    out = []
+    for top in range(0, n, TILE):
+        both = np.zeros((min(TILE, n - top), n), np.float32)
+        for at in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+            a, b = np.searchsorted(token, (at, at + COLUMNS))
+            part = np.zeros((n, COLUMNS), np.float32)
+            part[owner[a:b], token[a:b] - at] = 1
+            both += part[top : top + TILE] @ part.T
+        both = both.astype(np.int64)
+        i, j = np.nonzero(np.triu(100 * both >= percent * (sizes[top : top + TILE, None] + sizes[None, :] - both), top + 1))
+        out += zip((i + top).tolist(), j.tolist(), strict=True)
+    return out
 
 
 def forest(pairs: list[tuple[int, int]]) -> dict[int, int]:
@@ -200,7 +205,11 @@ def _links_batch(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
 
 def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of buckets and the centres of these."""
-    centres = members.groupBy("bucket").agg(*(F.min_by("cid", F.xxhash64("cid", F.lit(k))).alias(f"centre {k}") for k in range(CENTRES)))
+    # the member that meets most others over all its buckets is the most typical one; further ones are drawn
+    met_by = members.groupBy("cid").agg(F.sum("many").alias("meets"))
+    ranked = members.join(redealt(met_by, "cid"), "cid")
+    typical = F.max_by("cid", F.struct("meets", F.xxhash64("cid"))).alias("centre 0")
+    centres = ranked.groupBy("bucket").agg(typical, *(F.min_by("cid", F.xxhash64("cid", F.lit(k))).alias(f"centre {k}") for k in range(1, CENTRES)))
     every = F.array_distinct(F.array(*(F.col(f"`centre {k}`") for k in range(CENTRES))))
     met = members.join(redealt(centres, "bucket"), "bucket")
     stars = met.select("cid", F.explode(F.when(F.col("many") > 2, every).otherwise(F.array(F.col("`centre 0`")))).alias("centre")).where("cid <> centre").distinct()
@@ -228,26 +237,35 @@ def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """(bucket, cid, own, minors, blocks) of buckets whose members are not all connected.
+    """(bucket, merged, cid, own, minors, partners) of buckets whose members are not all connected.
 
-    Members outside the main group have the first blocks, those of the group the others.
+    The main group of a bucket is its largest one. Buckets that are mostly the same main group, of which each holds a
+    fair part, are merged under its name: their rows are met once, not once for each bucket. Members outside the main
+    group have the first blocks, those of the group the others; blocks grow with the root of a bucket's size.
     """
     tagged = members.where("many > 2").join(redealt(joined, "id"), F.col("cid") == F.col("id"), "left").select("bucket", "cid", F.coalesce("component", "cid").alias("part"))
-    mains = tagged.groupBy("bucket").agg(F.min_by("part", F.xxhash64("cid")).alias("main"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket", "main")
-    rows = written(tagged.join(redealt(mains, "bucket"), "bucket").select("bucket", "cid", (F.col("part") != F.col("main")).alias("minor")), "open")
-    blocks = lambda which: F.ceil(F.count_if(which) / BLOCK).cast("int")
-    sizes = rows.groupBy("bucket").agg(blocks(F.col("minor")).alias("minors"), blocks(~F.col("minor")).alias("majors"))
-    dealt = rows.join(redealt(sizes, "bucket"), "bucket")
+    parts = tagged.groupBy("bucket", "part").agg(F.count("*").alias("held"))
+    largest = F.max_by("part", F.struct("held", F.xxhash64("part"))).alias("main")
+    mains = parts.groupBy("bucket").agg(largest, F.max("held").alias("held"), F.sum("held").alias("rows"), F.count("*").alias("parts")).where("parts > 1")
+    wholes = joined.groupBy("component").agg(F.count("*").alias("whole"))
+    mains = mains.join(redealt(wholes, "component"), F.col("main") == F.col("component"), "left")
+    mains = mains.select("bucket", "main", F.coalesce(F.expr("2 * held >= rows and 4 * held >= whole"), F.lit(False)).alias("merged"))
+    named = F.when(F.col("merged"), F.col("main")).otherwise(F.col("bucket")).alias("bucket")
+    rows = written(tagged.join(redealt(mains, "bucket"), "bucket").select(named, "merged", "cid", (F.col("part") != F.col("main")).alias("minor")).distinct(), "open")
+    width = BLOCK * F.least(F.greatest(F.sqrt(F.count("*") / (4 * BLOCK)), F.lit(1.0)), F.lit(float(WIDEST)))
+    blocks = lambda which: F.ceil(F.count_if(which) / width).cast("int")
+    sizes = rows.groupBy("bucket", "merged").agg(blocks(F.col("minor")).alias("minors"), blocks(~F.col("minor")).alias("majors"))
+    dealt = rows.join(redealt(sizes, "bucket", "merged"), ["bucket", "merged"])
     place = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
     own = F.when(F.col("minor"), place("minors")).otherwise(F.col("minors") + place("majors"))
-    return dealt.select("bucket", "cid", own.alias("own"), "minors", F.when(F.col("minor"), F.col("minors") + F.col("majors")).otherwise(F.col("minors")).alias("partners"))
+    return dealt.select("bucket", "merged", "cid", own.alias("own"), "minors", F.when(F.col("minor"), F.col("minors") + F.col("majors")).otherwise(F.col("minors")).alias("partners"))
 
 
 def _block_links(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of open buckets of which at least one stands outside the main group."""
     rows = opened.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("partners") - 1)))
-    rows = rows.select("cid", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(redealt(sets, "cid"), "cid")
-    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cid")
+    rows = rows.select("cid", "bucket", "merged", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(redealt(sets, "cid"), "cid")
+    rows = rows.repartition("bucket", "merged", "i", "j").sortWithinPartitions("bucket", "merged", "i", "j", "cid")
 
     def compare(batches):
         now, held, found = None, [], []
@@ -257,7 +275,7 @@ def _block_links(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return _links_batch([(held[i][0], held[k][0], held[i][1], held[k][1]) for i, k in joined.items()])
 
         for batch in task(batches):
-            for *group, cid, rep, grams in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "cid", "rep", "grams")), strict=True):
+            for *group, cid, rep, grams in zip(*(batch.column(c).to_pylist() for c in ("bucket", "merged", "i", "j", "cid", "rep", "grams")), strict=True):
                 if group != now:
                     if len(held) > 1:
                         yield result()
@@ -266,7 +284,7 @@ def _block_links(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if len(held) > 1:
             yield result()
 
-    return rows.select("bucket", "i", "j", "cid", "rep", "grams").mapInArrow(compare, _LINKS)
+    return rows.select("bucket", "merged", "i", "j", "cid", "rep", "grams").mapInArrow(compare, _LINKS)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
